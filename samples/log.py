@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.schema import ROW_EVENTS
+from tidelog.settings import scratch_dir
+from tidelog.sources.tables import read_row_events
 
 # Fixed values, shared with the SQL in samples/sql.py.
 TABLES = ["click", "error", "purchase", "signup", "view"]
@@ -107,8 +109,26 @@ def _image(i: Column, shift: float) -> Column:
     )
 
 
+_landed: dict[tuple[str, str], str] = {}
+
+
 def row_events(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole log."""
+    """The whole log as a capture agent would land it: in log order, one folder per log file.
+
+    Derived from the tables once per application.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _landed:
+        path = scratch_dir(spark, "row-events")
+        # Ranges of (file, position) keep a hot file from ending up in one task.
+        ordered = derive_row_events(spark, sf).repartitionByRange("file_no", "start_pos")
+        ordered.sortWithinPartitions("file_no", "start_pos").write.partitionBy("file_no").parquet(path)
+        _landed[key] = path
+    return read_row_events(spark, _landed[key])
+
+
+def derive_row_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole log, derived from `events`."""
     events = _events(spark, sf)
     e = F.col("event_id")
     none = F.lit(None)

@@ -7,17 +7,15 @@ rewrites its own folder and counts on from the other appends, so no id is given
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidelog.functions.instants import now_text
 from tidelog.operators.ids import assign_ids, next_id
-from tidelog.schema import EVENT_STORE
-from tidelog.sources.tables import read_or_empty
+from tidelog.schema import EVENT_STORE, STORE_HEADS
+from tidelog.sources.tables import read_batches
 
 FULL = "full"
 ID_ONLY = "id-only"
 
-_HEADS = T.StructType.fromDDL("id BIGINT, writer STRING, batch_id BIGINT")
 _APPEND = "append"
 
 
@@ -49,7 +47,7 @@ def append_events(
     `writer` and `batch_id` name an append that may be repeated; without a `batch_id` each call is a new append.
     """
     spark = events.sparkSession
-    heads = read_or_empty(spark, f"{path}/_heads", _HEADS)
+    heads = read_batches(spark, f"{path}/_heads", STORE_HEADS, ["writer", "batch_id"])
     own = F.col("writer") == writer
     if batch_id is None:
         batch_id = heads.filter(own).agg(F.coalesce(F.max("batch_id"), F.lit(-1)) + 1).first()[0]

@@ -1,6 +1,5 @@
 """Reading of the tables that the operators work on."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,16 +42,12 @@ def read_catalog_rows(spark: SparkSession, kind: str, url: str, **options: str)
     )
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A parquet table, or an empty one where nothing has been written yet."""
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, batch_columns: list[str]) -> DataFrame:
+    """A parquet table with one folder per batch, which is created empty where nothing has been written yet."""
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*batch_columns).parquet(path)
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
 def read_event_store(spark: SparkSession, path: str) -> DataFrame:
     """The stored events: eight columns in fixed order."""
-    return read_or_empty(spark, path, EVENT_STORE).select(*EVENT_STORE.names)
+    return spark.read.schema(EVENT_STORE).parquet(path).select(*EVENT_STORE.names)
