@@ -1,24 +1,36 @@
 """Wildcard lists over database and table names."""
 
+import re
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def like_pattern(pattern: str) -> str:
-    r"""`*` and `?` to LIKE's `%` and `_`; LIKE's own special characters become literals.
-
-    LIKE rather than RLIKE, so that `app_*` reaches the parquet scan as a StartsWith filter.
-    """
+    """`*` and `?` to LIKE's `%` and `_`; LIKE's own special characters become literals."""
     literal = {"%": "\\%", "_": "\\_", "\\": "\\\\", "*": "%", "?": "_"}
     return "".join(literal.get(ch, ch) for ch in pattern)
 
 
 def wildcard_match(col: Column, pattern: str) -> Column:
-    """`*` is any run of characters, `?` exactly one; whole text, case-sensitive."""
-    return col.like(like_pattern(pattern))
+    """`*` is any run of characters, `?` exactly one; whole text, case-sensitive.
+
+    Literal beginnings and ends are tested as such, because those tests reach the parquet scan; a LIKE with an escape
+    (every `app_*` needs one) does not.
+    """
+    if "?" not in pattern and pattern.count("*") <= 1:
+        head, star, tail = pattern.partition("*")
+        if not star:
+            return col == pattern
+        tests = [test for text, test in ((head, col.startswith(head)), (tail, col.endswith(tail))) if text]
+        if head and tail:
+            tests.append(F.length(col) >= len(head) + len(tail))
+        return reduce(and_, tests, col.isNotNull())
+    match = col.like(like_pattern(pattern))
+    head = re.split(r"[*?]", pattern, maxsplit=1)[0]
+    return col.startswith(head) & match if head else match
 
 
 def split_patterns(text: str | None) -> list[str]:

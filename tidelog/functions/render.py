@@ -33,34 +33,37 @@ def classify_operation(event_type: Column) -> Column:
 
 def json_string(text: Column) -> Column:
     """Text as a quoted JSON string; null as `null`."""
-    boxed = F.to_json(F.array(text))
-    quoted = F.substring(boxed, F.lit(2), F.length(boxed) - 2)
+    # JSON text starts and ends with a quote (or is `null`), so only the brackets of the array are trimmed.
+    quoted = F.trim(F.to_json(F.array(text)), F.lit("[]"))
     lowered = quoted
     for code in _LETTER_ESCAPES:
-        lowered = F.regexp_replace(
-            lowered, rf"(?<!\\)((?:\\\\)*)\\u{code:04X}", rf"$1\\u{code:04x}"
-        )
+        lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*)\\u{code:04X}", rf"$1\\u{code:04x}")
     return F.when(text.rlike(r"[\x0b\x0e\x0f\x1a-\x1f]"), lowered).otherwise(quoted)
 
 
 def _shortest(number: Column) -> Column:
     """Text of a double with the fewest digits that read back as the same value."""
     text = number.cast("string")
-    shorter = F.format_string("%.15e", number)
-    # Older Java runtimes may print one digit too many; such text always has 17 digits or more.
-    return F.when((F.length(text) >= 18) & (shorter.cast("double") == number), shorter.cast("double").cast("string")) \
-        .otherwise(text)
+    shortest = F.when(F.length(text) < 17, text)
+    # Older Java runtimes may print one or two digits too many, so shorter texts are tried first.
+    for decimals in (14, 15, 16):
+        shorter = F.format_string(f"%.{decimals}e", number)
+        tidy = F.regexp_replace(F.regexp_replace(shorter, r"e\+?(-?)0*(\d+)$", "E$1$2"), r"(\.\d+?)0+E", "$1E")
+        shortest = shortest.when(shorter.cast("double") == number, tidy)
+    return shortest.otherwise(text)
 
 
 def json_number(number: Column) -> Column:
     """A double as a JSON number: plain decimals from 1e-5 up to 1e16, exponents outside, non-finite as `null`."""
-    text = _shortest(number)
     size = F.abs(number)
+    # Spark's own text is already the JSON text in this range; all else is rare.
+    usual = (size >= 1e-3) & (size < 1e7)
+    text = _shortest(number)
     plain = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1")
     exponent = F.lower(F.regexp_replace(text, r"\.0E", "E"))
     return (
-        F.when(F.isnan(number) | number.isNull() | (size == float("inf")), F.lit("null"))
-        .when((number == 0) | ((size >= 1e-3) & (size < 1e7)), text)
+        F.when(usual | (number == 0), number.cast("string"))
+        .when(F.isnan(number) | number.isNull() | (size == float("inf")), F.lit("null"))
         .when((size >= 1e-5) & (size < 1e16), plain)
         .otherwise(exponent)
     )
@@ -74,39 +77,62 @@ def json_bytes(raw: Column) -> Column:
     )
 
 
+_TWO_DIGITS = " ".join(f"{n:02d}" for n in range(100))
+
+
+def _two(number: Column) -> Column:
+    """At least two digits. A look-up in a constant list; general formatting costs many times as much."""
+    return F.coalesce(F.get(F.split(F.lit(_TWO_DIGITS), " "), number), number.cast("string"))
+
+
+def _year(number: Column) -> Column:
+    return F.when(number < 1000, F.lpad(number.cast("string"), 4, "0")).otherwise(number.cast("string"))
+
+
+def _micros(number: Column) -> Column:
+    return F.lpad(number.cast("string"), 6, "0")
+
+
 def _json_date(dt: Column) -> Column:
     midnight = (dt["h"] == 0) & (dt["mi"] == 0) & (dt["s"] == 0) & (dt["us"] == 0)
-    day = [dt["y"], dt["mo"], dt["d"]]
-    return F.when(midnight, F.format_string('"%04d-%02d-%02d"', *day)).otherwise(
-        F.format_string('"%04d-%02d-%02dT%02d:%02d:%02d.%06d"', *day, dt["h"], dt["mi"], dt["s"], dt["us"])
-    )
+    quote, dash, colon = F.lit('"'), F.lit("-"), F.lit(":")
+    day = [quote, _year(dt["y"]), dash, _two(dt["mo"]), dash, _two(dt["d"])]
+    clock = [_two(dt["h"]), colon, _two(dt["mi"]), colon, _two(dt["s"]), F.lit("."), _micros(dt["us"])]
+    return F.when(midnight, F.concat(*day, quote)).otherwise(F.concat(*day, F.lit("T"), *clock, quote))
 
 
 def _json_time(tm: Column) -> Column:
-    sign = F.when(tm["neg"], F.lit("-")).otherwise(F.lit(""))
-    return F.format_string('"%s%02d:%02d:%02d.%06d"', sign, tm["days"] * 24 + tm["h"], tm["mi"], tm["s"], tm["us"])
+    sign = F.when(tm["neg"], F.lit('"-')).otherwise(F.lit('"'))
+    colon = F.lit(":")
+    hours = tm["days"] * 24 + tm["h"]
+    return F.concat(
+        sign, _two(hours), colon, _two(tm["mi"]), colon, _two(tm["s"]), F.lit("."), _micros(tm["us"]), F.lit('"')
+    )
 
 
 def render_cell(cell: Column) -> Column:
     """One typed cell as a JSON fragment."""
-    kind = cell["kind"]
-    fragment = (
-        F.when(kind == "bytes", json_bytes(cell["b"]))
-        .when(kind == "int", cell["i"].cast("string"))
-        .when(kind == "double", json_number(cell["d"]))
-        .when(kind == "date", _json_date(cell["dt"]))
-        .when(kind == "time", _json_time(cell["tm"]))
-        .when(kind == "uint", cell["u"].cast("string"))
+    renderers = {
+        "bytes": ("b", json_bytes),
+        "int": ("i", lambda value: value.cast("string")),
+        "double": ("d", json_number),
+        "date": ("dt", _json_date),
+        "time": ("tm", _json_time),
+        "uint": ("u", lambda value: value.cast("string")),
         # Widened first: 0.1f is written as 0.10000000149011612.
-        .when(kind == "float", json_number(cell["f"].cast("double")))
-        .when(kind == "json", cell["raw"])
-    )
-    return F.coalesce(fragment, F.lit("null"))
+        "float": ("f", lambda value: json_number(value.cast("double"))),
+        "json": ("raw", lambda value: value),
+    }
+    fragment = F.when(F.lit(False), F.lit(""))
+    for kind, (field, render) in renderers.items():
+        # The null test comes first because it is cheaper than comparing the kind.
+        fragment = fragment.when(cell[field].isNotNull() & (cell["kind"] == kind), render(cell[field]))
+    return fragment.otherwise(F.lit("null"))
 
 
 def fragments(cells: Column) -> Column:
     """A row image as JSON fragments in column order."""
-    return F.transform(F.coalesce(cells, F.array()), render_cell)
+    return F.transform(cells, render_cell)
 
 
 def name_cells(cells: Column, names: Column) -> Column:
@@ -122,6 +148,11 @@ def keys_of(names: Column) -> Column:
     return F.transform(names, lambda n: F.when(n != "", F.concat(json_string(n), F.lit(":"))))
 
 
+def all_distinct(keys: Column) -> Column:
+    """Whether no key is missing or repeated."""
+    return (F.size(F.array_distinct(keys)) == F.size(keys)) & ~F.exists(keys, lambda k: k.isNull())
+
+
 def cell_keys(cells: Column, keys: Column) -> Column:
     """Keys of the cells, with `"col_i":` where the catalog has none (the keyed form of `name_cells`)."""
     return F.transform(
@@ -129,18 +160,22 @@ def cell_keys(cells: Column, keys: Column) -> Column:
     )
 
 
-def _last_value(keys: Column, values: Column, key: Column) -> Column:
-    """Fragment of the last cell with this key; null when there is none."""
-    at = F.array_position(F.reverse(keys), key) - 1
-    return F.get(F.reverse(values), at.cast("int"))
+def _last_index(keys: Column, key: Column) -> Column:
+    """Index of the last cell with this key; past the end when there is none."""
+    return (F.size(keys) - F.array_position(F.reverse(keys), key)).cast("int")
+
 
+def object_json(keys: Column, values: Column, distinct: Column | None = None) -> Column:
+    """JSON object of fragments in column order. A repeated key keeps its first place and its last value.
 
-def object_json(keys: Column, values: Column) -> Column:
-    """JSON object in column order. A repeated key keeps its first place and its last value."""
-    distinct = F.array_distinct(keys)
-    members = F.when(
-        F.size(distinct) == F.size(keys), F.zip_with(keys, values, lambda k, v: F.concat(k, v))
-    ).otherwise(F.transform(distinct, lambda k: F.concat(k, _last_value(keys, values, k))))
+    `distinct` says where the keys are known to be distinct, which saves the test.
+    """
+    is_distinct = F.size(F.array_distinct(keys)) == F.size(keys)
+    if distinct is not None:
+        is_distinct = distinct | is_distinct
+    members = F.when(is_distinct, F.zip_with(keys, values, lambda k, v: F.concat(k, v))).otherwise(
+        F.transform(F.array_distinct(keys), lambda k: F.concat(k, F.get(values, _last_index(keys, k))))
+    )
     return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
 
@@ -159,22 +194,22 @@ def row_envelope(operation: Column, before: Column, after: Column) -> Column:
 
 
 def primary_key_json(keys: Column, values: Column, pk_keys: Column) -> Column:
-    """The primary key of a row image as JSON.
+    """The primary key of a row image (as keys and fragments) as JSON.
 
     One key column gives a scalar, several an object in key order (`null` where the image lacks one); without a known
     key the first of `id`, `ID`, `Id` that the image has, else `null`.
     """
-    null = F.lit("null")
+    count = F.coalesce(F.size(pk_keys), F.lit(0))
+    single = F.when(count == 1, F.get(pk_keys, F.lit(0)))
+    for name in FALLBACK_KEYS:
+        key = F.lit(f'"{name}":')
+        single = single.when(F.array_contains(keys, key), key)
 
     def value(key: Column) -> Column:
-        return F.coalesce(_last_value(keys, values, key), null)
+        return F.coalesce(F.get(values, _last_index(keys, key)), F.lit("null"))
 
-    composite = F.concat(
-        F.lit("{"), F.array_join(F.transform(pk_keys, lambda k: F.concat(k, value(k))), ","), F.lit("}")
-    )
-    fallback = F.coalesce(*[_last_value(keys, values, F.lit(f'"{name}":')) for name in FALLBACK_KEYS], null)
-    count = F.coalesce(F.size(pk_keys), F.lit(0))
-    return F.when(count == 1, value(F.get(pk_keys, F.lit(0)))).when(count > 1, composite).otherwise(fallback)
+    composite = F.transform(pk_keys, lambda k: F.concat(k, value(k)))
+    return F.when(count > 1, F.concat(F.lit("{"), F.array_join(composite, ","), F.lit("}"))).otherwise(value(single))
 
 
 def null_if_empty(pk_columns: Column) -> Column:

@@ -1,10 +1,13 @@
 """From row-change logs to change events."""
 
-from pyspark.sql import DataFrame
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.instants import format_event_time
 from tidelog.functions.render import (
+    all_distinct,
     cell_keys,
     classify_operation,
     fragments,
@@ -25,30 +28,70 @@ _MAX_POS = 9223372036854775807
 
 
 def keyed_catalog(columns: DataFrame, primary_keys: DataFrame) -> DataFrame:
-    """Both catalogs in one table, with their names quoted once for all rows: name_keys, pk_columns, pk_keys."""
-    both = columns.join(primary_keys, TABLE_KEY, "full_outer")
+    """Both catalogs in one table, with what each row needs worked out once per table.
+
+    Adds name_keys and pk_keys (quoted names) and plain_names (no name is missing or repeated).
+    """
+    both = columns.join(primary_keys, TABLE_KEY, "full_outer").withColumn("name_keys", keys_of(F.col("columns")))
     return both.select(
-        *TABLE_KEY, keys_of(F.col("columns")).alias("name_keys"), "pk_columns", keys_of(F.col("pk_columns")).alias("pk_keys")
+        *TABLE_KEY,
+        "name_keys",
+        all_distinct(F.col("name_keys")).alias("plain_names"),
+        "pk_columns",
+        keys_of(F.col("pk_columns")).alias("pk_keys"),
     )
 
 
+@lru_cache
+def _fragments_of(side: str, application: str) -> Column:
+    """Fragments of one image of `row_change`.
+
+    The expression is large, and a stream would build it anew for each batch; one per application is enough.
+    """
+    return fragments(F.col(f"row_change.{side}"))
+
+
 def change_events(rows: DataFrame) -> DataFrame:
-    """Changed rows with their table, name_keys and keys to change events."""
-    names = F.coalesce("name_keys", F.array().cast("array<string>"))
-    before, after = F.col("row_change.before"), F.col("row_change.after")
+    """Changed rows with their table and its `keyed_catalog` entry to change events."""
+    application = rows.sparkSession.sparkContext.applicationId
+    nothing = F.array().cast("array<string>")
+    names = F.coalesce("name_keys", nothing)
     operation = F.col("operation")
-    empty = F.array().cast("array<string>")
-    # The fragments of an image serve both its object and the key, so they are columns of their own.
-    rendered = (
-        rows.withColumn("operation", classify_operation(F.col("event_type")))
-        .withColumn("_before", F.when(operation != "INSERT", fragments(before)).otherwise(empty))
-        .withColumn("_after", F.when(operation != "DELETE", fragments(after)).otherwise(empty))
-        .withColumn("_before_keys", F.when(operation != "INSERT", cell_keys(before, names)).otherwise(empty))
-        .withColumn("_after_keys", F.when(operation != "DELETE", cell_keys(after, names)).otherwise(empty))
+    # An image counts only for the operations that have it; one that is missing has no cells.
+    used = {"before": operation != "INSERT", "after": operation != "DELETE"}
+
+    def cells(side: str) -> Column:
+        return F.col(f"row_change.{side}")
+
+    def plain(side: str) -> Column:
+        """The catalog names every cell, each differently; surplus names do no harm."""
+        return F.coalesce(F.col("plain_names") & (F.size(cells(side)) <= F.size("name_keys")), F.lit(False))
+
+    def keys(side: str) -> Column:
+        count = F.size(cells(side))
+        named = F.when(count == F.size(names), names).otherwise(F.slice(names, F.lit(1), count))
+        return F.coalesce(
+            F.when(used[side], F.when(plain(side), named).otherwise(cell_keys(cells(side), names))), nothing
+        )
+
+    def distinct(side: str) -> Column:
+        return plain(side) | (F.size(names) == 0)
+
+    def values(side: str) -> Column:
+        return F.coalesce(F.when(used[side], _fragments_of(side, application)), nothing)
+
+    # Fragments serve both the object and the key, so they are columns of their own.
+    rendered = rows.withColumn("operation", classify_operation(F.col("event_type"))).withColumns(
+        {
+            "_before": values("before"),
+            "_after": values("after"),
+            "_before_keys": keys("before"),
+            "_after_keys": keys("after"),
+            "_before_distinct": distinct("before"),
+            "_after_distinct": distinct("after"),
+        }
     )
     is_delete = operation == "DELETE"
-    key_names = F.when(is_delete, F.col("_before_keys")).otherwise(F.col("_after_keys"))
-    key_values = F.when(is_delete, F.col("_before")).otherwise(F.col("_after"))
     return rendered.select(
         format_event_time(F.col("ts_unix")).alias("timestamp"),
         F.col("ts_unix").alias("event_time"),
@@ -56,11 +99,15 @@ def change_events(rows: DataFrame) -> DataFrame:
         F.col("db_name").alias("database"),
         F.col("table_name").alias("table"),
         null_if_empty(F.col("pk_columns")).alias("pk_columns"),
-        primary_key_json(key_names, key_values, F.col("pk_keys")).alias("primary_key"),
+        primary_key_json(
+            F.when(is_delete, F.col("_before_keys")).otherwise(F.col("_after_keys")),
+            F.when(is_delete, F.col("_before")).otherwise(F.col("_after")),
+            F.col("pk_keys"),
+        ).alias("primary_key"),
         row_envelope(
             operation,
-            object_json(F.col("_before_keys"), F.col("_before")),
-            object_json(F.col("_after_keys"), F.col("_after")),
+            object_json(F.col("_before_keys"), F.col("_before"), F.col("_before_distinct")),
+            object_json(F.col("_after_keys"), F.col("_after"), F.col("_after_distinct")),
         ).alias("row"),
         "log_name",
         "file_no",
