@@ -37,7 +37,7 @@ def difference(df, con, sql: str) -> str | None:
     if left_names != right_names:
         return f"columns: {left_names} != {right_names}"
     if left == right:
-        return None
+        return None if left else "no rows"
     only_left, only_right = left - right, right - left
     return (
         f"{left.total()} rows != {right.total()} rows; only in Spark {only_left.total()}: {list(only_left)[:2]}; "

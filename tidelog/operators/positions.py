@@ -40,18 +40,20 @@ def _timed() -> Column:
     return F.col("ts_unix") > 0
 
 
-def first_event_time(row_events: DataFrame) -> DataFrame:
-    """(file_no, log_name, first_time): time of a file's first event that has one, among its first 20 events.
+def _file_starts(row_events: DataFrame) -> DataFrame:
+    """(file_no, log_name, file_size, first_time), from one aggregate over the event headers.
 
-    The first timed event is a plain aggregate. It counts unless 20 events without a time precede it, so only the
-    first 20 untimed events of each file are ever sorted.
+    The first timed event counts unless 20 events without a time precede it, so only the first 20 untimed events of
+    each file are ever sorted.
     """
     timed_pos = F.when(_timed(), F.col("start_pos"))
-    first = row_events.groupBy(*_FILE).agg(
-        F.min(timed_pos).alias("first_pos"), F.min_by("ts_unix", timed_pos).alias("first_ts")
+    files = row_events.groupBy(*_FILE).agg(
+        F.max("end_pos").alias("file_size"),
+        F.min(timed_pos).alias("first_pos"),
+        F.min_by("ts_unix", timed_pos).alias("first_ts"),
     )
     order = Window.partitionBy("file_no").orderBy("start_pos")
-    untimed = row_events.filter(~F.coalesce(_timed(), F.lit(False))).select("file_no", "start_pos")
+    untimed = row_events.filter((F.col("ts_unix") <= 0) | F.col("ts_unix").isNull()).select("file_no", "start_pos")
     limit = (
         untimed.withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= PROBE_EVENTS)
@@ -59,31 +61,34 @@ def first_event_time(row_events: DataFrame) -> DataFrame:
         .agg(F.max(F.when(F.col("n") == PROBE_EVENTS, F.col("start_pos"))).alias("probe_end"))
     )
     seen = F.col("probe_end").isNull() | (F.col("first_pos") < F.col("probe_end"))
-    return first.join(limit, "file_no", "left").select(
-        *_FILE, F.when(seen, F.col("first_ts")).alias("first_time")
+    return files.join(limit, "file_no", "left").select(
+        *_FILE, "file_size", F.when(seen, F.col("first_ts")).alias("first_time")
     )
 
 
+def first_event_time(row_events: DataFrame) -> DataFrame:
+    """(file_no, log_name, first_time): time of a file's first event that has one, among its first 20 events."""
+    return _file_starts(row_events).select(*_FILE, "first_time")
+
+
 def file_time_ranges(row_events: DataFrame, now_ts: int) -> DataFrame:
     """(log_name, file_no, file_size, start_time, end_time, is_current) in unix seconds.
 
-    A file ends where the next one starts; the current file ends now.
+    A file ends where the next one starts; the current file, the last one, ends now.
     """
-    current = latest_position(row_events).select("log_name").scalar()
-    files = log_files(row_events).join(
-        first_event_time(row_events).select("file_no", F.col("first_time").alias("start_time")), "file_no"
-    )
-    # Walk the files backwards: the nearest file already passed is the next one.
-    nearest = Running("min", F.struct("file_no", "start_time"), inclusive=False)
+    files = _file_starts(row_events)
+    # Walk the files backwards: the nearest file already passed is the next one. All columns travel along, so that
+    # both branches of the running aggregate share one aggregate over the log.
+    nearest = Running("min", F.struct("file_no", "first_time", "log_name", "file_size"), inclusive=False)
     bucket = -F.floor(F.col("file_no") / _FILES_PER_BUCKET)
     followed = running(files, [], bucket, [F.col("file_no").desc()], {"next_file": nearest})
-    is_current = F.coalesce(F.col("log_name") == current, F.lit(False))
+    is_current = F.col("next_file").isNull()
     return followed.select(
         "log_name",
         "file_no",
         "file_size",
-        "start_time",
-        F.when(is_current, F.lit(now_ts).cast("bigint")).otherwise(F.col("next_file.start_time")).alias("end_time"),
+        F.col("first_time").alias("start_time"),
+        F.when(is_current, F.lit(now_ts).cast("bigint")).otherwise(F.col("next_file.first_time")).alias("end_time"),
         is_current.alias("is_current"),
     )
 
