@@ -6,7 +6,7 @@ NOW_TS = 1735689600
 SINCE, UNTIL = "2024-01-10T00:00:00Z", "2024-01-20T00:00:00Z"
 SINCE_TS, UNTIL_TS = 1704844800, 1705708800
 REPLAY, REPLAY_TS = "2024-01-15T12:00:00Z", 1705320000
-POSITION = (3, 128000)
+POSITION = (1, 128000)
 LIMIT = 5000
 
 

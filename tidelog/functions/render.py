@@ -20,7 +20,7 @@ ROW_EVENT_TYPES = [kind for kinds in OPERATIONS.values() for kind in kinds]
 FALLBACK_KEYS = ["id", "ID", "Id"]
 
 # Control characters whose \u escape holds a hex letter; the escape is written in lower case.
-_LETTER_ESCAPES = [0x0B, 0x0E, 0x0F, *range(0x1A, 0x20)]
+_LETTER_ESCAPES = " ".join(f"u{code:04X}" for code in [0x0B, 0x0E, 0x0F, *range(0x1A, 0x20)])
 
 
 def classify_operation(event_type: Column) -> Column:
@@ -35,9 +35,14 @@ def json_string(text: Column) -> Column:
     """Text as a quoted JSON string; null as `null`."""
     # JSON text starts and ends with a quote (or is `null`), so only the brackets of the array are trimmed.
     quoted = F.trim(F.to_json(F.array(text)), F.lit("[]"))
-    lowered = quoted
-    for code in _LETTER_ESCAPES:
-        lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*)\\u{code:04X}", rf"$1\\u{code:04x}")
+    # An escape counts only behind an even number of backslashes.
+    lowered = F.aggregate(
+        F.split(F.lit(_LETTER_ESCAPES), " "),
+        quoted,
+        lambda done, code: F.regexp_replace(
+            done, F.concat(F.lit(r"(?<!\\)((?:\\\\)*)\\"), code), F.concat(F.lit(r"$1\\"), F.lower(code))
+        ),
+    )
     return F.when(text.rlike(r"[\x0b\x0e\x0f\x1a-\x1f]"), lowered).otherwise(quoted)
 
 
