@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +45,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_shipped: set[str] = set()
+
+
+def in_python(df: DataFrame, function, schema: str) -> DataFrame:
+    """mapInArrow with this package sent to the executors, so that none needs it installed."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parent.parent
+        code = Path(tempfile.mkdtemp(prefix="code-"), f"{root.name}.zip")
+        with zipfile.ZipFile(code, "w") as archive:
+            for file in sorted(root.rglob("*.py")):
+                archive.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(code))
+        _shipped.add(context.applicationId)
+    return df.mapInArrow(function, schema)

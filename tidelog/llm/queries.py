@@ -8,16 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm.common import table
 from tidelog.llm.mixing import mix_report
+from tidelog.llm.packing import packed
 from tidelog.llm.rules import quality_report
+from tidelog.llm.simhash import near_duplicate_report
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
