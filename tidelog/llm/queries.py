@@ -5,12 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidelog.llm.ann import nearest_neighbours
 from tidelog.llm.common import table
 from tidelog.llm.mixing import mix_report
 from tidelog.llm.packing import packed
 from tidelog.llm.rules import quality_report
 from tidelog.llm.simhash import near_duplicate_report
+from tidelog.llm.warc import archive_report
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_report(spark, table(spark, sf_dir, "pages"))
+
+
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
