@@ -159,7 +159,8 @@ def _nearest(dimensions: int, keep: int):
                 visited = visited.values.to_numpy()
                 hit = np.isin(buckets, visited) if len(visited) else np.ones(len(buckets), bool)
                 gaps = np.sqrt(((x[hit] - q[i]) ** 2).sum(axis=1))
-                own = ids[hit]
+                own, one = np.unique(ids[hit], return_index=True)  # a vector may be here from several tables
+                gaps = gaps[one]
                 best = np.lexsort((own, gaps))[:keep]
                 out[0].append(np.full(len(best), queries.column("query")[i].as_py()))
                 out[1].append(own[best])
@@ -204,7 +205,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = K_NEARES
         local = left.groupBy("shard", "chunk").cogroup(visits.groupBy("shard", "chunk")).applyInArrow(
             _nearest(dimensions, k + 1), "query bigint, vec_id bigint, score double"
         )
-        return local.distinct().withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
+        found = local.groupBy("query", "vec_id").agg(F.min("score").alias("score"))
+        return found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
 
     merged = stored(searched(probes.join(chunks, "shard").select("shard", every, "query", "embedding", "buckets")), "ann-found")
     # Queries whose buckets held fewer than k others go through all shards, block by block.
