@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm.ann import nearest_neighbours
+from tidelog.llm.classifier import quality_scores
 from tidelog.llm.common import table
 from tidelog.llm.mixing import mix_report
 from tidelog.llm.packing import packed
 from tidelog.llm.rules import quality_report
 from tidelog.llm.simhash import near_duplicate_report
+from tidelog.llm.templates import line_dedup_report
 from tidelog.llm.warc import archive_report
 
 
@@ -29,6 +31,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
