@@ -14,6 +14,7 @@ from tidelog.llm.mixing import mix_report
 from tidelog.llm.packing import packed
 from tidelog.llm.rules import quality_report
 from tidelog.llm.simhash import near_duplicate_report
+from tidelog.llm.substring import substring_report
 from tidelog.llm.templates import line_dedup_report
 from tidelog.llm.warc import archive_report
 
@@ -27,6 +28,10 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
 
 
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_report(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
