@@ -11,6 +11,7 @@ rows that repeat are packed each for itself; an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -25,8 +26,13 @@ SEQUENCE = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 ROWS_PER_SLICE = 20_000
-_CACHED_WORDS = 400_000  # per worker; the cache starts anew when full
+_CACHED_WORDS = 250_000  # per worker; words of the two latest such lots are known
 _CACHED_LENGTH = 64
+_AT_ONCE = 64  # documents whose unknown words are tokenized together
+
+# Marks at a word's end are tokens of their own if a Latin letter or a digit stands before them, so they are cut off and
+# the word is known with and without them.
+_MARKS = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,;:!?$%&*#|]+)(?=[\s]|$)")
 
 
 @lru_cache(1)
@@ -35,24 +41,7 @@ def _tokenizer(name: str):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(public_tokenizers.path(name)), {}
-
-
-def token_bytes(text: bytes, name: str = TOKENIZER) -> bytes:
-    """The ids of a text as little-endian 32-bit numbers.
-
-    The tokenizer treats white space as a border and nothing else, so a text's ids are those of its words in order, and
-    each word is tokenized once.
-    """
-    tokenizer, known = _tokenizer(name)
-    words = text.split()
-    new = [w for w in set(words) if w not in known]
-    if len(known) + len(new) > _CACHED_WORDS:
-        known.clear()
-        new = list(set(words))
-    own = dict(zip(new, _encoded(tokenizer, new)))
-    known.update((w, ids) for w, ids in own.items() if len(w) <= _CACHED_LENGTH)
-    return b"".join([known[w] if w in known else own[w] for w in words])
+    return Tokenizer.from_file(public_tokenizers.path(name)), [{}, {}]
 
 
 def _encoded(tokenizer, words: list[bytes]) -> list[bytes]:
@@ -60,6 +49,39 @@ def _encoded(tokenizer, words: list[bytes]) -> list[bytes]:
     return [np.array(e.ids, "<u4").tobytes() for e in found]
 
 
+def token_bytes(texts: list[bytes], name: str = TOKENIZER) -> list[bytes]:
+    """Per text its ids as little-endian 32-bit numbers.
+
+    The tokenizer lowers case and treats white space as a border and nothing else, so a text's ids are those of its words
+    in order, and each word is tokenized once. Only the marks of special tokens depend on case; texts with them go whole.
+    """
+    tokenizer, known = _tokenizer(name)
+    split = [None if b"<|" in t else _MARKS.sub(rb" \1", t.lower()).split() for t in texts]
+    if len(known[0]) > _CACHED_WORDS:
+        known[:] = [{}, known[0]]
+    recent, older = known
+    own = {}
+    for word in set().union(*[w for w in split if w is not None]):
+        if word not in recent:
+            own[word] = older.get(word)
+    new = [word for word, ids in own.items() if ids is None]
+    own.update(zip(new, _encoded(tokenizer, new)))
+    recent.update(own)
+    whole = [
+        _encoded(tokenizer, [text])[0] if words is None else b"".join([recent[w] for w in words])
+        for text, words in zip(texts, split)
+    ]
+    for word in new:
+        if len(word) > _CACHED_LENGTH:
+            del recent[word]
+    return whole
+
+
+def _all_tokens(texts, name: str):
+    for at in range(0, len(texts), _AT_ONCE):
+        yield from token_bytes([t.as_py() or b"" for t in texts[at : at + _AT_ONCE]], name)
+
+
 def _cut(limit: int, name: str):
     end = np.array([END_ID], "<u4").tobytes()
 
@@ -67,8 +89,8 @@ def _cut(limit: int, name: str):
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             row, start, length, crc, total = [], [], [], [], []
-            for i, text in enumerate(texts):
-                ids = token_bytes(text.as_py() or b"", name) + end
+            for i, ids in enumerate(_all_tokens(texts, name)):
+                ids += end
                 n = len(ids) // 4
                 for at in range(0, n, limit):
                     part = ids[4 * at : 4 * (at + limit)]
