@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import WORD, as_rows, words
+from tidelog.llm.common import WORD, as_rows, stored, words
 
 # Fixed values of the base rules.
 SYMBOL = r"[#*$%&|<>]"
@@ -124,6 +124,9 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame) -> DataFrame:
     """The kept rows with their passed lines as text (n_chars follows the text); columns as in docs."""
-    kept = judged(as_rows(docs)).filter("kept")
     new = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("bigint")}
-    return kept.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+    cleaned = judged(as_rows(docs)).select(
+        "kept", F.struct(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns]).alias("doc")
+    )
+    # Written before the verdict filters: a filter on it would be moved below the steps and repeat all their expressions.
+    return stored(cleaned, "rules").filter("kept").select("doc.*")
