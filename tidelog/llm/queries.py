@@ -15,6 +15,7 @@ from tidelog.llm.packing import packed
 from tidelog.llm.rules import quality_report
 from tidelog.llm.simhash import near_duplicate_report
 from tidelog.llm.substring import substring_report
+from tidelog.llm.suffix import suffix_report
 from tidelog.llm.templates import line_dedup_report
 from tidelog.llm.warc import archive_report
 
@@ -40,6 +41,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_report(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_report(table(spark, sf_dir, "documents"))
 

@@ -77,41 +77,40 @@ def _starts_of_groups(keys: list[np.ndarray]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _shared(batches):
-    """Of rows sorted by hash and document: those whose hash is in several documents, or in a range's first or last group."""
-    group, first_doc, sure, waiting = None, None, True, []
-    for batch in batches:
-        h, doc, at = (batch.column(i).to_numpy() for i in range(3))
-        if not len(h):
-            continue
-        out = []
-        starts = _starts_of_groups([h])
-        ends = np.append(starts[1:], len(h))
-        inner_first = doc[starts]
-        several = inner_first != doc[ends - 1]
-        if group == h[0]:  # the group goes on
-            if sure or first_doc != doc[ends[0] - 1]:
-                out += waiting
-                waiting, several[0], sure = [], True, True
-        else:
-            waiting = []  # one document only
-            if group is None:  # the range's first group may have begun in the range before
-                several[0] = True
-        if len(starts) > 1 or group != h[0]:
-            first_doc, sure = inner_first[-1], bool(several[-1])
-            if len(starts) == 1:
-                sure = bool(several[0])
-        group = h[-1]
-        keep = np.repeat(several, ends - starts)
-        out.append((doc[keep], at[keep]))
-        if not several[-1]:
+def shared_groups(same_document: bool):
+    """Of rows sorted by hash and document: those whose hash is in several documents (or in several rows, if the same
+    document counts), or in a range's first or last group.
+    """
+
+    def shared(batches):
+        group, first_doc, sure, waiting = None, None, True, []
+        for batch in batches:
+            h, doc, at = (batch.column(i).to_numpy() for i in range(3))
+            if not len(h):
+                continue
+            starts = _starts_of_groups([h])
+            ends = np.append(starts[1:], len(h))
+            several = (ends - starts > 1) if same_document else (doc[starts] != doc[ends - 1])
+            firsts, out = doc[starts].copy(), []
+            if group == h[0]:  # the group goes on
+                firsts[0] = first_doc
+                several[0] |= sure or same_document or first_doc != doc[ends[0] - 1]
+                if several[0]:
+                    out, waiting = waiting, []
+            else:
+                waiting = []  # the group before had one document only
+                several[0] |= group is None  # the range's first group may have begun in the range before
+            keep = np.repeat(several, ends - starts)
+            out.append((doc[keep], at[keep]))
             if len(starts) > 1:
                 waiting = []
-            waiting.append((doc[starts[-1] :], at[starts[-1] :]))
-        else:
-            waiting = []
-        yield _place_batch(out)
-    yield _place_batch(waiting)  # the last group may go on in the next range
+            if not several[-1]:
+                waiting.append((doc[starts[-1] :], at[starts[-1] :]))
+            group, first_doc, sure = h[-1], firsts[-1], bool(several[-1])
+            yield _place_batch(out)
+        yield _place_batch(waiting)  # the last group may go on in the next range
+
+    return shared
 
 
 def _place_batch(parts: list[tuple]) -> pa.RecordBatch:
@@ -187,7 +186,7 @@ def candidates(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     some = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
     anchors = in_python(some, _anchors(window), "h bigint, doc bigint, at int")
     dealt = anchors.repartitionByRange("h", "doc").sortWithinPartitions("h", "doc")
-    shared = in_python(dealt, _shared, "doc bigint, at int")
+    shared = in_python(dealt, shared_groups(False), "doc bigint, at int")
     places = shared.groupBy("doc").agg(F.collect_set("at").alias("anchors"))  # a document's own positions
     return some.join(places, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "anchors")
 
