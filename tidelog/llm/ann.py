@@ -14,7 +14,7 @@ no result and aren't indexed; equal queries are searched once.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do those of
 another length than most of the sample; ties go to the smaller id; fewer candidates than k give fewer rows; an empty table
-gives none; rows that repeat are candidates each, but not of a query with the same id.
+gives none; rows that repeat an id are one candidate, and one query.
 """
 
 from __future__ import annotations
@@ -93,7 +93,7 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def fit(vectors: DataFrame, tables: int = TABLES, projections: int = PROJECTIONS, share: float = SHARE) -> Hashing | None:
-    """Random directions, and the distance at which a vector of the sample has its K_NEAREST-th neighbour there."""
+    """Random directions, and the distance at which most vectors of the sample have their K_NEAREST-th neighbour there."""
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()
     if not sample:
         return None
@@ -103,7 +103,7 @@ def fit(vectors: DataFrame, tables: int = TABLES, projections: int = PROJECTIONS
     few = x[:500]
     squares = np.maximum(0, (few**2).sum(1)[:, None] + (x**2).sum(1) - 2 * few @ x.T)
     near = np.sqrt(np.sort(squares, axis=1)[:, min(K_NEAREST, len(x) - 1)])
-    distance = float(np.median(near)) or 1.0
+    distance = float(np.quantile(near, 0.9)) or 1.0
     random = np.random.default_rng(SEED)
     directions = random.standard_normal((tables, projections, dimensions))
     return Hashing(directions, random.random((tables, projections)), WIDTH * distance, distance, share)
@@ -217,7 +217,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = K_NEARES
         visits = short.select(shard, "query", "embedding", F.array().cast("array<bigint>").alias("buckets"))
         again = searched(visits.join(chunks, "shard").select("shard", every, "query", "embedding", "buckets"))
         merged = merged.join(short.select("query"), "query", "left_anti").unionByName(again)
-    members = asked.select(F.col("vec_id").alias("query_id"), "h1", "h2").join(distinct.select("h1", "h2", "query"), ["h1", "h2"])
+    members = asked.select(F.col("vec_id").alias("query_id"), "h1", "h2")
+    members = members.join(distinct.select("h1", "h2", "query"), ["h1", "h2"])
+    members = members.select("query_id", "query").distinct()
     rank = Window.partitionBy("query_id").orderBy("score", "vec_id")
     answers = members.join(merged, "query").filter("vec_id <> query_id").withColumn("rank", F.row_number().over(rank))
     return answers.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
