@@ -190,19 +190,27 @@ def q_name_cells(spark, sf):
     return rows.select(*_PLACE, F.array_join(R.name_cells(cells, F.col("columns")), ",").alias("names"))
 
 
+def _both_images() -> list:
+    """The JSON of either image, null where there is none."""
+    images = {side: F.col(f"row_change.{side}") for side in ("before", "after")}
+    return [F.when(i.isNotNull(), R.row_image_json(i, F.col("columns"))).alias(side) for side, i in images.items()]
+
+
 def q_row_json_missing_names(spark, sf):
-    rows = filter_changes(_named(spark, sf), tables="view,signup").filter("row_change.after is not null")
-    return rows.select(*_PLACE, R.row_image_json(F.col("row_change.after"), F.col("columns")).alias("image"))
+    # Names of the first two columns only: the rest is named by place.
+    rows = _named(spark, sf).withColumn("columns", F.slice("columns", 1, 2))
+    return rows.select(*_PLACE, *_both_images())
 
 
 def q_row_image_json(spark, sf):
-    rows = _named(spark, sf).filter("row_change.before is not null")
-    return rows.select(*_PLACE, R.row_image_json(F.col("row_change.before"), F.col("columns")).alias("image"))
+    return _named(spark, sf).select(*_PLACE, *_both_images())
 
 
 def q_render_values(spark, sf):
-    cells = _changed(spark, sf).select(*_PLACE, F.posexplode("row_change.after").alias("cell_no", "cell"))
-    return cells.select(*_PLACE, "cell_no", R.render_cell(F.col("cell")).alias("json"))
+    sides = F.explode(F.map_from_arrays(F.array(F.lit("before"), F.lit("after")), F.array("row_change.before", "row_change.after")))
+    images = _changed(spark, sf).select(*_PLACE, sides.alias("side", "image"))
+    cells = images.select(*_PLACE, "side", F.posexplode("image").alias("cell_no", "cell"))
+    return cells.select(*_PLACE, "side", "cell_no", R.render_cell(F.col("cell")).alias("json"))
 
 
 def q_render_bytes_hex(spark, sf):
@@ -215,8 +223,8 @@ def q_row_envelope(spark, sf):
     return _captured(spark, sf).select(*_PLACE, "operation", "row")
 
 
-def _keys(tables: str) -> Query:
-    return lambda spark, sf: _captured(spark, sf, tables=tables).select(*_PLACE, "table", "primary_key")
+def q_primary_key_json(spark, sf):
+    return _captured(spark, sf).select(*_PLACE, "table", "primary_key")
 
 
 def q_null_if_empty(spark, sf):
@@ -486,9 +494,6 @@ def queries() -> dict[str, Query]:
     named = {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
     return {
         **named,
-        "pk_single": _keys("click,view"),
-        "pk_composite": _keys("purchase"),
-        "pk_fallback": _keys("error,signup"),
         "filter_db_wildcard": _filtered("app_*"),
         "filter_table_wildcard": _filtered(tables="*r*, view,"),
         "filter_db_and_table": _filtered("app_?,legacy", "c*k,si*"),

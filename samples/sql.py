@@ -136,10 +136,8 @@ STORE = """store AS (
 _STORE = (*_ALL, STORE)
 _STORE_COLS = "id, event_time, operation, db_name, table_name, primary_key, row_data"
 
-FIRST = """probed AS (SELECT *, row_number() OVER (PARTITION BY file_no ORDER BY start_pos) AS n FROM log),
-first_times AS (
-  SELECT file_no, log_name, arg_min(ts_unix, start_pos) FILTER (WHERE ts_unix > 0 AND n <= 20) AS first_time
-  FROM probed GROUP BY ALL)"""
+FIRST = """first_times AS (
+  SELECT file_no, log_name, arg_min(ts_unix, start_pos) FILTER (WHERE ts_unix > 0) AS first_time FROM log GROUP BY ALL)"""
 RANGES = f"""ranges AS (
   SELECT s.log_name, s.file_no, file_size, first_time AS start_time,
          CASE WHEN s.file_no = max(s.file_no) OVER () THEN {NOW_TS} ELSE lead(first_time) OVER (ORDER BY s.file_no) END
@@ -235,26 +233,22 @@ def oracle_sql() -> dict[str, str]:
         "FROM changed"
     )
     sql["name_cells"] = named + "SELECT file_no, start_pos, row_index, array_to_string(cols, ',') AS names FROM named"
-    sql["row_json_missing_names"] = named + (
-        f"SELECT file_no, start_pos, row_index, {_object('after')} AS image FROM named "
-        "WHERE table_name IN ('view', 'signup') AND after IS NOT NULL"
-    )
-    sql["row_image_json"] = named + (
-        f"SELECT file_no, start_pos, row_index, {_object('before')} AS image FROM named WHERE before IS NOT NULL"
-    )
-    sql["render_values"] = changed + (
-        "SELECT file_no, start_pos, row_index, (k - 1)::INTEGER AS cell_no, after[k] AS json FROM changed, range(1, 11) r(k) "
-        "WHERE after IS NOT NULL"
+    images = ", ".join(f"CASE WHEN {side} IS NOT NULL THEN {_object(side)} END AS {side}" for side in ("before", "after"))
+    images = f"SELECT file_no, start_pos, row_index, {images} FROM named"
+    two_names = named.replace("coalesce(names, [])[k]", "coalesce(names, [])[1:2][k]")
+    sql["row_json_missing_names"] = two_names + images
+    sql["row_image_json"] = named + images
+    sql["render_values"] = changed + " UNION ALL ".join(
+        f"SELECT file_no, start_pos, row_index, '{side}' AS side, (k - 1)::INTEGER AS cell_no, {side}[k] AS json "
+        f"FROM changed, range(1, 11) r(k) WHERE {side} IS NOT NULL"
+        for side in ("before", "after")
     )
     sql["render_bytes_hex"] = (
         "SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN '\"0xff' || lower(hex(encode(text))) || '\"' "
         "ELSE to_json(text)::VARCHAR END AS json FROM documents"
     )
     sql["row_envelope"] = events + 'SELECT file_no, start_pos, row_index, operation, "row" FROM captured'
-    keyed = events + 'SELECT file_no, start_pos, row_index, "table", primary_key FROM captured WHERE "table" IN ('
-    sql["pk_single"] = keyed + "'click', 'view')"
-    sql["pk_composite"] = keyed + "'purchase')"
-    sql["pk_fallback"] = keyed + "'error', 'signup')"
+    sql["primary_key_json"] = events + 'SELECT file_no, start_pos, row_index, "table", primary_key FROM captured'
     sql["null_if_empty"] = events + 'SELECT file_no, start_pos, row_index, pk_columns FROM captured'
     sql["to_store_row"] = events + (
         'SELECT "timestamp" AS event_time, operation, "database" AS db_name, "table" AS table_name, primary_key, '

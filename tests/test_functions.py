@@ -1,3 +1,4 @@
+import fnmatch
 import json
 import math
 import random
@@ -26,10 +27,10 @@ def one(spark, column, **values):
 @pytest.mark.parametrize(
     "pattern, text, expected",
     [
-        ("foo", "foo", True), ("foo", "bar", False),
-        ("app_*", "app_users", True), ("app_*", "app_", True), ("app_*", "other_users", False), ("app_*", "appXusers", False),
-        ("*", "anything", True), ("*", "", True), ("*log*", "changelog_events", True),
-        ("db?", "db1", True), ("db?", "dbX", True), ("db?", "db12", False), ("db?", "db", False),
+        ("north", "north", True), ("north", "northern", False),
+        ("eu_*", "eu_", True), ("eu_*", "euXsales", False), ("*_eu", "sales_eu", True), ("s*s_*u", "sales_eu", True),
+        ("*", "", True), ("**", "x y", True), ("*ale*", "sales", True), ("*ale*", "aleph", True),
+        ("v??", "v42", True), ("v??", "v4", False), ("?*", "", False), ("?*?", "ab", True),
         ("a%b", "a%b", True), ("a%b", "axb", False), ("[ab]", "a", False), ("[ab]", "[ab]", True),
         ("a\\b", "a\\b", True), ("*\\", "x\\", True), ("FOO", "foo", False), ("?", "😀", True), ("a*b", "a\nb", True), ("", "", True),
     ],
@@ -39,12 +40,8 @@ def test_wildcard(spark, pattern, text, expected):
 
 
 def matches(pattern, text):
-    """Plain matcher of the same rules."""
-    if not pattern:
-        return not text
-    if pattern[0] == "*":
-        return any(matches(pattern[1:], text[i:]) for i in range(len(text) + 1))
-    return bool(text) and pattern[0] in ("?", text[0]) and matches(pattern[1:], text[1:])
+    """The standard library's matcher, whose brackets are no wildcards here."""
+    return fnmatch.fnmatchcase(text, pattern.replace("[", "[[]"))
 
 
 def test_wildcard_against_plain_matcher(spark):
@@ -62,7 +59,7 @@ def test_pattern_lists(spark):
     assert split_patterns(" a, ,b*,, ") == ["a", "b*"]
     assert like_pattern("a_%\\*?") == "a\\_\\%\\\\%_"
     feed = spark.createDataFrame(
-        [("app_users", "events"), ("legacy", "orders"), ("other_db", "events"), ("db", "order_items"), ("db", "user1"), ("db", "products")],
+        [("eu_north", "trips"), ("archive", "trips"), ("us", "fares"), ("us", "fare_log"), ("us", "zone7"), ("us", "zone12")],
         "db_name string, table_name string",
     )
 
@@ -70,9 +67,9 @@ def test_pattern_lists(spark):
         return [tuple(r) for r in filter_changes(feed, **lists).collect()]
 
     assert len(kept()) == 6
-    assert kept(databases="app_*,legacy") == [("app_users", "events"), ("legacy", "orders")]
-    assert kept(tables="order_*,user?") == [("db", "order_items"), ("db", "user1")]
-    assert kept(databases="db", tables="prod*") == [("db", "products")]
+    assert kept(databases="archive,eu_*") == [("eu_north", "trips"), ("archive", "trips")]
+    assert kept(tables="zone?,fare_*") == [("us", "fare_log"), ("us", "zone7")]
+    assert kept(databases="u?", tables="fare*") == [("us", "fares"), ("us", "fare_log")]
 
 
 def test_wildcard_reaches_the_scan(spark, tmp_path):
@@ -116,10 +113,10 @@ def test_format_times(spark):
     "text, expected",
     [
         ("end", ("end", None, None)), ("start", ("start", None, None)),
-        ("log.042863:380228940", ("at", "log.042863", 380228940)), ("log.000001:4", ("at", "log.000001", 4)),
+        ("feed.000917:52", ("at", "feed.000917", 52)), ("feed.000917:9007199254740993", ("at", "feed.000917", 9007199254740993)),
         ("a:b:12", ("at", "a:b", 12)), (":7", ("at", "", 7)), ("f:18446744073709551615", ("at", "f", 18446744073709551615)),
         ("f:+5", ("at", "f", 5)), ("f:0000000000000000000000042", ("at", "f", 42)), ("f:0", ("at", "f", 0)),
-        ("bad-value", (None, None, None)), ("f:notanumber", (None, None, None)), ("f:", (None, None, None)),
+        ("feed.000917", (None, None, None)), ("f:12x", (None, None, None)), ("f:", (None, None, None)),
         ("f:-1", (None, None, None)), ("f:18446744073709551616", (None, None, None)), ("END", (None, None, None)),
     ],
 )

@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as entry_points
 
 QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+SAMPLES = sorted(entry_points._sql.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -14,10 +15,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert sorted(QUERIES) == sorted(SQL)
+    assert sorted(entry_points._queries.queries()) == SAMPLES
+    assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", SAMPLES)
 def test_query(spark, con, sf, name):
     assert compare.difference(QUERIES[name](spark, sf), con, SQL[name]) is None
 

@@ -1,18 +1,16 @@
 """Sort by id with an optional limit of any size."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators.scan import Running, running
 
-# Limits up to this size are taken as a top-k; larger ones are first turned into an id bound.
-_TOP_K = 1000
 _IDS_PER_BUCKET = 1 << 20
 _BUCKETS_PER_GROUP = 4096
 
 
-def _last_id(df: DataFrame, n: int) -> int | None:
-    """The n-th smallest id, or null when there are fewer than n rows. Ids are unique."""
+def _bound(df: DataFrame, n: int) -> tuple[int, int] | None:
+    """The n-th smallest id, and how many of its rows are among the first n; null when there are no more than n rows."""
     counts = df.groupBy(F.floor(F.col("id") / _IDS_PER_BUCKET).alias("bucket")).agg(F.count("*").alias("rows"))
     before = running(
         counts,
@@ -21,22 +19,29 @@ def _last_id(df: DataFrame, n: int) -> int | None:
         [F.col("bucket")],
         {"before": Running("sum", F.col("rows"), inclusive=False)},
     )
-    hit = before.filter((F.col("before") < n) & (F.col("before") + F.col("rows") >= n)).first()
+    hit = before.filter((F.col("before") <= n) & (F.col("before") + F.col("rows") > n)).first()
     if hit is None:
         return None
     low = hit["bucket"] * _IDS_PER_BUCKET
     inside = df.filter((F.col("id") >= low) & (F.col("id") < low + _IDS_PER_BUCKET))
-    return inside.select("id").orderBy("id").limit(n - hit["before"]).agg(F.max("id")).first()[0]
+    # One row per id of the bucket.
+    upto = F.sum("count").over(Window.orderBy("id")) + hit["before"]
+    ids = inside.groupBy("id").count().withColumn("upto", upto)
+    at = ids.filter(F.col("upto") > n).orderBy("id").first()
+    return at["id"], n - (at["upto"] - at["count"])
 
 
 def order_by_id(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Rows in id order, at most `limit` of them (0 gives none)."""
+    """Rows in id order, at most `limit` of them (0 gives none); of rows that share the last id, as many as fit."""
     if limit is None:
         return df.orderBy("id")
     if limit < 0:
         raise ValueError("limit must not be negative")
-    if limit <= _TOP_K:
-        return df.orderBy("id").limit(limit)
-    last = _last_id(df, limit)
+    bound = _bound(df, limit)
+    if bound is None:
+        return df.orderBy("id")
     # An id bound reaches the scan, where it skips row groups.
-    return (df if last is None else df.filter(F.col("id") <= last)).orderBy("id")
+    below = df.filter(F.col("id") < bound[0])
+    if bound[1]:
+        below = below.unionByName(df.filter(F.col("id") == bound[0]).limit(bound[1]))
+    return below.orderBy("id")

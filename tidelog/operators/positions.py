@@ -1,13 +1,12 @@
 """Log files, their sizes and time ranges, and positions in them."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.operators.scan import Running, running
 from tidelog.settings import chunk_bytes
 
-# Events at the start of a file among which the first time is looked for, and the first offset after the file header.
-PROBE_EVENTS = 20
+# The first offset after a file's header.
 FIRST_OFFSET = 4
 
 _FILE = ["file_no", "log_name"]
@@ -22,8 +21,10 @@ def log_files(row_events: DataFrame) -> DataFrame:
 
 def latest_position(row_events: DataFrame) -> DataFrame:
     """One row (log_name, file_no, pos): the end of the last file; nulls for a log without events."""
+    # The number of the newest file comes from the partitions' names, and then only that file is read.
+    newest = row_events.agg(F.max("file_no")).first()[0]
     last = F.max(F.struct("file_no", "end_pos", "log_name")).alias("last")
-    return row_events.agg(last).select(
+    return row_events.filter(F.col("file_no") == F.lit(newest).cast("bigint")).agg(last).select(
         F.col("last.log_name").alias("log_name"), F.col("last.file_no").alias("file_no"), F.col("last.end_pos").alias("pos")
     )
 
@@ -40,35 +41,17 @@ def _timed() -> Column:
     return F.col("ts_unix") > 0
 
 
-def _file_starts(row_events: DataFrame) -> DataFrame:
-    """(file_no, log_name, file_size, first_time), from one aggregate over the event headers.
-
-    The first timed event counts unless 20 events without a time precede it, so only the first 20 untimed events of
-    each file are ever sorted.
-    """
+def file_starts(row_events: DataFrame) -> DataFrame:
+    """(file_no, log_name, file_size, first_time), from one aggregate over the event headers."""
     timed_pos = F.when(_timed(), F.col("start_pos"))
-    files = row_events.groupBy(*_FILE).agg(
-        F.max("end_pos").alias("file_size"),
-        F.min(timed_pos).alias("first_pos"),
-        F.min_by("ts_unix", timed_pos).alias("first_ts"),
-    )
-    order = Window.partitionBy("file_no").orderBy("start_pos")
-    untimed = row_events.filter((F.col("ts_unix") <= 0) | F.col("ts_unix").isNull()).select("file_no", "start_pos")
-    limit = (
-        untimed.withColumn("n", F.row_number().over(order))
-        .filter(F.col("n") <= PROBE_EVENTS)
-        .groupBy("file_no")
-        .agg(F.max(F.when(F.col("n") == PROBE_EVENTS, F.col("start_pos"))).alias("probe_end"))
-    )
-    seen = F.col("probe_end").isNull() | (F.col("first_pos") < F.col("probe_end"))
-    return files.join(limit, "file_no", "left").select(
-        *_FILE, "file_size", F.when(seen, F.col("first_ts")).alias("first_time")
+    return row_events.groupBy(*_FILE).agg(
+        F.max("end_pos").alias("file_size"), F.min_by("ts_unix", timed_pos).alias("first_time")
     )
 
 
 def first_event_time(row_events: DataFrame) -> DataFrame:
-    """(file_no, log_name, first_time): time of a file's first event that has one, among its first 20 events."""
-    return _file_starts(row_events).select(*_FILE, "first_time")
+    """(file_no, log_name, first_time): time of a file's first event that has one; null if none has."""
+    return file_starts(row_events).select(*_FILE, "first_time")
 
 
 def file_time_ranges(row_events: DataFrame, now_ts: int) -> DataFrame:
@@ -76,7 +59,7 @@ def file_time_ranges(row_events: DataFrame, now_ts: int) -> DataFrame:
 
     A file ends where the next one starts; the current file, the last one, ends now.
     """
-    files = _file_starts(row_events)
+    files = file_starts(row_events)
     # Walk the files backwards: the nearest file already passed is the next one. All columns travel along, so that
     # both branches of the running aggregate share one aggregate over the log.
     nearest = Running("min", F.struct("file_no", "first_time", "log_name", "file_size"), inclusive=False)

@@ -5,20 +5,27 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.instants import file_number, parse_instant, parse_start_spec
 from tidelog.operators.lookup import lookup_join
-from tidelog.operators.positions import FIRST_OFFSET, first_event_time, latest_position
+from tidelog.operators.positions import FIRST_OFFSET, file_starts, latest_position
 from tidelog.operators.scan import Running, running
+from tidelog.settings import scratch_dir
 
 # Width of a time bucket in seconds. Both sides are reduced to distinct seconds first, which bounds a bucket.
 _SECONDS_PER_BUCKET = 1 << 16
 
-# Upper bound on one position row, in bytes.
-_POSITION_BYTES = 512
+# Up to this many crossing files are named in the scan's filter.
+_LISTED_FILES = 1000
 
 
-def _crossing_files(row_events: DataFrame, targets: DataFrame) -> DataFrame:
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """A small table that later steps read instead of computing it again."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _crossing_files(files: DataFrame, targets: DataFrame) -> DataFrame:
     """(target_ts, file_no): the last file whose first time is not after the target; the first file if there is none."""
-    files = first_event_time(row_events)
-    first_file = row_events.agg(F.min("file_no").alias("f")).scalar()
+    first_file = files.agg(F.min("file_no")).first()[0]
     starts = files.filter(F.col("first_time").isNotNull()).select(
         F.col("first_time").alias("at"), F.lit(0).alias("is_target"), "file_no"
     )
@@ -34,7 +41,7 @@ def _crossing_files(row_events: DataFrame, targets: DataFrame) -> DataFrame:
         {"crossing": Running("max", F.col("file_no"))},
     )
     return merged.filter(F.col("is_target") == 1).select(
-        F.col("at").alias("target_ts"), F.coalesce("crossing", first_file).alias("file_no")
+        F.col("at").alias("target_ts"), F.coalesce("crossing", F.lit(first_file).cast("bigint")).alias("file_no")
     )
 
 
@@ -43,22 +50,24 @@ def seek_positions(row_events: DataFrame, targets: DataFrame) -> DataFrame:
 
     The position is the start of the first event of the crossing file at or after the instant, else the file's end.
     It is a position and not a time filter: later events with an earlier time stay behind it.
+
+    The log is read twice: its headers once for the files' first times, and the crossing files for their seconds.
     """
-    distinct = targets.select("target_ts").filter(F.col("target_ts").isNotNull()).distinct()
-    # One row per distinct instant at most, which bounds the lookups below without running the search twice.
-    at_most = distinct.count() * _POSITION_BYTES
-    crossing = _crossing_files(row_events, distinct).filter(F.col("file_no").isNotNull())
-
-    header = row_events.select("file_no", "log_name", "start_pos", "end_pos", "ts_unix")
-    files = crossing.select("file_no").distinct()
-    scanned = lookup_join(header, files, ["file_no"], "left_semi", ["start_pos"], at_most)
+    distinct = _written(targets.select("target_ts").filter(F.col("target_ts").isNotNull()).distinct(), "seek-targets")
+    files = _written(file_starts(row_events.select("file_no", "log_name", "start_pos", "end_pos", "ts_unix")), "seek-files")
+    crossing = _written(_crossing_files(files, distinct).filter(F.col("file_no").isNotNull()), "seek-crossing")
+
+    header = row_events.select("file_no", "start_pos", "ts_unix").filter(F.col("ts_unix") > 0)
+    chosen = crossing.select("file_no").distinct()
+    few = [r[0] for r in chosen.limit(_LISTED_FILES + 1).collect()]
+    if len(few) <= _LISTED_FILES:
+        # Literal numbers prune the partitions of all other files.
+        scanned = header.filter(F.col("file_no").isin(few))
+    else:
+        scanned = lookup_join(header, chosen, ["file_no"], "left_semi", ["start_pos"])
     # All events of one second act alike, so each file shrinks to its distinct seconds before anything is shuffled.
-    seconds = scanned.groupBy("file_no", F.coalesce("ts_unix", F.lit(0)).alias("at")).agg(
-        F.min("start_pos").alias("start_pos")
-    )
-    ends = scanned.groupBy("file_no").agg(F.max("log_name").alias("log_name"), F.max("end_pos").alias("file_end"))
-
-    marks = seconds.filter(F.col("at") > 0).select("file_no", "at", F.lit(0).alias("is_target"), "start_pos")
+    seconds = scanned.groupBy("file_no", F.col("ts_unix").alias("at")).agg(F.min("start_pos").alias("start_pos"))
+    marks = _written(seconds, "seek-seconds").select("file_no", "at", F.lit(0).alias("is_target"), "start_pos")
     wanted = crossing.select(
         "file_no", F.col("target_ts").alias("at"), F.lit(1).alias("is_target"), F.lit(None).cast("bigint").alias("start_pos")
     )
@@ -70,13 +79,14 @@ def seek_positions(row_events: DataFrame, targets: DataFrame) -> DataFrame:
         [F.col("at").desc(), F.col("is_target")],
         {"found": Running("min", F.col("start_pos"))},
     ).filter(F.col("is_target") == 1)
+    ends = files.select("file_no", "log_name", F.col("file_size").alias("file_end"))
     positions = found.join(ends, "file_no", "left").select(
         F.col("at").alias("target_ts"),
         "log_name",
         "file_no",
         F.coalesce("found", "file_end", F.lit(FIRST_OFFSET).cast("bigint")).alias("pos"),
     )
-    return lookup_join(targets, positions, ["target_ts"], at_most=at_most)
+    return lookup_join(targets, _written(positions, "seek-positions"), ["target_ts"])
 
 
 def resolve_start(specs: DataFrame, row_events: DataFrame) -> DataFrame:

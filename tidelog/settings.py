@@ -34,14 +34,23 @@ def salts(spark: SparkSession) -> int:
     return _int_setting(spark, SALTS_KEY, SALTS)
 
 
+_local_scratch = False
+
+
+def allow_local_scratch() -> None:
+    """For samples, benches and tests: sessions on this machine without the setting may use its temporary folder."""
+    global _local_scratch
+    _local_scratch = True
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder path below the cluster's shared `spark.checkpoint.dir`.
 
-    Only a session without that setting (a local test) falls back to a folder of the machine.
+    A session without that setting is an error, unless it is local and allow_local_scratch() was called.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _local_scratch or not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidelog-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
