@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -44,9 +45,27 @@ def _tokenizer(name: str):
     return Tokenizer.from_file(public_tokenizers.path(name)), [{}, {}]
 
 
+# A lower-case word of these letters only is one piece for the tokenizer's model, which can then be asked directly.
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+# The model's alphabet: bytes that print stand for themselves, the others for characters from 256 on, in order.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
 def _encoded(tokenizer, words: list[bytes]) -> list[bytes]:
-    found = tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-    return [np.array(e.ids, "<u4").tobytes() for e in found]
+    found, others, model = [], [], tokenizer.model
+    for i, word in enumerate(words):
+        text = word.decode().lower()
+        if _LETTERS.fullmatch(text):
+            spelled = text if text.isascii() else text.encode().decode("latin-1").translate(_ALPHABET)
+            found.append(array("I", [t.id for t in model.tokenize(spelled)]).tobytes())
+        else:
+            found.append(b"")
+            others.append(i)
+    whole = tokenizer.encode_batch_fast([words[i].decode() for i in others], add_special_tokens=False)
+    for i, encoding in zip(others, whole):
+        found[i] = np.array(encoding.ids, "<u4").tobytes()
+    return found
 
 
 def token_bytes(texts: list[bytes], name: str = TOKENIZER) -> list[bytes]:
