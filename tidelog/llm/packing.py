@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,11 +30,12 @@ TOKENIZER = "word_bpe_49k.json"
 ROWS_PER_SLICE = 20_000
 _CACHED_WORDS = 250_000  # per worker; words of the two latest such lots are known
 _CACHED_LENGTH = 64
-_AT_ONCE = 64  # documents whose unknown words are tokenized together
+_BYTES_AT_ONCE = 8 << 20  # of texts whose words are looked up together
 
-# Marks at a word's end are tokens of their own if a Latin letter or a digit stands before them, so they are cut off and
-# the word is known with and without them.
-_MARKS = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,;:!?$%&*#|]+)(?=[\s]|$)")
+# Marks at a word's end are tokens of their own if a Latin letter or a digit stands before them, so only what is before
+# them has to be known.
+_MARKS = frozenset(b".,;:!?$%&*#|")
+_MARKED = re.compile(rb"(.*(?:[a-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,;:!?$%&*#|]+)", re.DOTALL)
 
 
 @lru_cache(1)
@@ -68,54 +70,78 @@ def _encoded(tokenizer, words: list[bytes]) -> list[bytes]:
     return found
 
 
-def token_bytes(texts: list[bytes], name: str = TOKENIZER) -> list[bytes]:
-    """Per text its ids as little-endian 32-bit numbers.
-
-    The tokenizer lowers case and treats white space as a border and nothing else, so a text's ids are those of its words
-    in order, and each word is tokenized once. Only the marks of special tokens depend on case; texts with them go whole.
-    """
+def _known_ids(words: list[bytes], name: str) -> list[bytes]:
+    """Per lower-case word its ids as little-endian 32-bit numbers; each word is tokenized once."""
     tokenizer, known = _tokenizer(name)
-    split = [None if b"<|" in t else _MARKS.sub(rb" \1", t.lower()).split() for t in texts]
     if len(known[0]) > _CACHED_WORDS:
         known[:] = [{}, known[0]]
     recent, older = known
-    own = {}
-    for word in set().union(*[w for w in split if w is not None]):
-        if word not in recent:
-            own[word] = older.get(word)
+    own, marked = {}, {}
+    for word in words:
+        match = _MARKED.fullmatch(word) if word and word[-1] in _MARKS else None
+        parts = match.groups() if match else (word,)
+        if match:
+            marked[word] = parts
+        for part in parts:
+            if part not in recent:
+                own[part] = older.get(part)
     new = [word for word, ids in own.items() if ids is None]
     own.update(zip(new, _encoded(tokenizer, new)))
     recent.update(own)
-    whole = [
-        _encoded(tokenizer, [text])[0] if words is None else b"".join([recent[w] for w in words])
-        for text, words in zip(texts, split)
-    ]
+    found = [recent[marked[w][0]] + recent[marked[w][1]] if w in marked else recent[w] for w in words]
     for word in new:
         if len(word) > _CACHED_LENGTH:
             del recent[word]
-    return whole
+    return found
 
 
-def _all_tokens(texts, name: str):
-    for at in range(0, len(texts), _AT_ONCE):
-        yield from token_bytes([t.as_py() or b"" for t in texts[at : at + _AT_ONCE]], name)
+def token_ids(texts: pa.Array, name: str = TOKENIZER) -> list[np.ndarray]:
+    """Per text (none null) its ids.
 
+    The tokenizer lowers case and treats white space as a border and nothing else, so a text's ids are those of its words
+    in order, and each distinct word is looked at once. Only the marks of special tokens depend on case; texts with them go
+    whole.
+    """
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = words.flatten().dictionary_encode()
+    encoded = _known_ids(coded.dictionary.cast(pa.binary()).to_pylist(), name)
+    sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+    table, first = np.frombuffer(b"".join(encoded), "<u4"), np.cumsum(sizes) - sizes
+    index = coded.indices.to_numpy()
+    counts = sizes[index]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    ids = table[np.arange(ends[-1]) + np.repeat(first[index] - ends[:-1], counts)]
+    borders = ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
+    found = [ids[a:b] for a, b in zip(borders[:-1].tolist(), borders[1:].tolist())]
+    for i in np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)):
+        whole = _tokenizer(name)[0].encode(texts[int(i)].as_py(), add_special_tokens=False)
+        found[i] = np.array(whole.ids, "<u4")
+    return found
 
-def _cut(limit: int, name: str):
-    end = np.array([END_ID], "<u4").tobytes()
 
+def _all_ids(texts: pa.Array, name: str):
+    """In groups of about _BYTES_AT_ONCE."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _BYTES_AT_ONCE)))
+        yield from token_ids(texts[at:end], name)
+        at = end
+
+
+def _cut(limit: int, name: str):
     def cut(batches):
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
+            texts = pc.fill_null(batch.column("text"), "")
             row, start, length, crc, total = [], [], [], [], []
-            for i, ids in enumerate(_all_tokens(texts, name)):
-                ids += end
-                n = len(ids) // 4
+            for i, ids in enumerate(_all_ids(texts, name)):
+                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
+                n = len(ids)
                 for at in range(0, n, limit):
-                    part = ids[4 * at : 4 * (at + limit)]
+                    part = ids[at : at + limit]
                     row.append(i)
                     start.append(at)
-                    length.append(len(part) // 4)
+                    length.append(len(part))
                     crc.append(zlib.crc32(part))
                     total.append(n)
             numbers = [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
