@@ -1,5 +1,53 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+_SUBSTRING = f"""
+WITH docs AS (SELECT doc_id, coalesce(regexp_extract_all(text, {_WORD}), []) AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM docs)),
+firsts AS (SELECT s, min(doc_id) AS first_id FROM windows GROUP BY s),
+gone AS (
+  SELECT DISTINCT doc_id, k FROM (
+    SELECT doc_id, unnest(range(i, i + 50)) AS k FROM windows JOIN firsts USING (s) WHERE doc_id > first_id)),
+words AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS k FROM docs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, k)
+  GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)"""
+
+_MIXING = f"""
+WITH sizes AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, {_WORD})), 0)::BIGINT AS size,
+         md5(coalesce(doc_id::VARCHAR, '')) AS place
+  FROM documents),
+named AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_no
+  FROM sizes GROUP BY source),
+weighed AS (SELECT *, [5.0, 2.0, 1.0][source_no % 3 + 1]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS cap FROM named),
+leveled AS (
+  SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE - coalesce(sum(cap) OVER fill, 0.0::DOUBLE))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER fill, 0.0::DOUBLE)) AS level
+  FROM weighed WINDOW fill AS (ORDER BY cap / weight, source_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+opened AS (
+  SELECT *, first_value(CASE WHEN level * weight < cap THEN level END IGNORE NULLS) OVER (
+    ORDER BY cap / weight, source_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS open_level
+  FROM leveled),
+targets AS (SELECT source, source_no, source_size, coalesce(least(open_level * weight, cap), cap) AS target FROM opened),
+played AS (
+  SELECT s.*, source_no, source_size, target, sum(size) OVER (PARTITION BY source_no ORDER BY place, size) AS played
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+copies AS (
+  SELECT *, (played + epoch * source_size)::DOUBLE / target AS finish
+  FROM played, (VALUES (0), (1)) e(epoch) WHERE size > 0 AND target > 0),
+mixed AS (SELECT *, sum(size) OVER (ORDER BY finish, source_no, place) AS upto FROM copies),
+taken AS (
+  SELECT doc_id, sum(size)::BIGINT AS taken FROM mixed WHERE upto <= (SELECT sum(size) FROM sizes) * 1.5 GROUP BY doc_id)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM played LEFT JOIN taken USING (doc_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_substring": _SUBSTRING, "op4_mixing": _MIXING}
