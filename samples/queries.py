@@ -14,7 +14,7 @@ from tidelog.functions.patterns import any_match, filter_changes, wildcard_match
 from tidelog.operators import catalog as C
 from tidelog.operators import positions as P
 from tidelog.operators.ids import assign_ids, next_id
-from tidelog.operators.resolve import drop_bad_rows, explode_rows, resolve_tables, rows_events_only
+from tidelog.operators.resolve import drop_bad_rows, explode_rows, resolve_tables, rows_events_only, skipped_counts
 from tidelog.operators.seek import resolve_start, seek_positions
 from tidelog.plans.capture import capture, replay_since
 from tidelog.plans.export import export_events, export_filter
@@ -285,6 +285,10 @@ def q_rows_events_only(spark, sf):
     return _headers(rows_events_only(L.row_events(spark, sf)))
 
 
+def q_skipped_counts(spark, sf):
+    return skipped_counts(L.row_events(spark, sf))
+
+
 def q_drop_bad_rows(spark, sf):
     return drop_bad_rows(_changed(spark, sf)).select(*_PLACE)
 

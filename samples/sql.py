@@ -282,6 +282,11 @@ def oracle_sql() -> dict[str, str]:
         "(db_name LIKE 'app!__' ESCAPE '!' OR db_name = 'legacy') AND (table_name LIKE 'c%k' OR table_name LIKE 'si%')"
     )
     sql["rows_events_only"] = base + f"SELECT {header} FROM log WHERE row_count IS NOT NULL"
+    rows_events = "(SELECT count(*) FROM log WHERE row_count IS NOT NULL)"
+    sql["skipped_counts"] = changed + (
+        f"SELECT {rows_events} AS rows_events, {rows_events} - (SELECT count(*) FROM bound) AS unbound_events, "
+        "(SELECT count(*) FROM changed WHERE error IS NOT NULL) AS bad_rows"
+    )
     sql["drop_bad_rows"] = changed + "SELECT file_no, start_pos, row_index FROM changed WHERE error IS NULL"
     f, p = POSITION
     sql["from_position"] = base + (

@@ -177,7 +177,7 @@ def test_store_ids_resume_and_retries_repeat(spark, catalogs, tmp_path):
     append_events(events, path, FULL)
     append_events(events.limit(0), path)
     append_events(events, path)
-    append_events(events.filter("table = 'events'"), path, batch_id=5, writer="other")
+    append_events(events.filter("table = 'parcels'"), path, batch_id=5, writer="other")
     append_events(events, path, batch_id=5, writer="other")
     store = read_event_store(spark, path)
     rows = store.orderBy("id").collect()

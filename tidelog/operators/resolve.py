@@ -100,6 +100,17 @@ def resolve_tables(row_events: DataFrame, databases: str = "", tables: str = "")
     return _scan_bindings(row_events, databases, tables)
 
 
+def skipped_counts(row_events: DataFrame) -> DataFrame:
+    """One row of what a capture leaves out: of `rows_events`, those without a table map, and rows that cannot be read."""
+    resolved = resolve_tables(row_events)
+    bad = F.size(F.filter("rows", lambda row: row["error"].isNotNull()))
+    found = resolved.agg(F.count("*").alias("bound"), F.coalesce(F.sum(bad), F.lit(0)).cast("bigint").alias("bad_rows"))
+    total = rows_events_only(row_events).agg(F.count("*").alias("rows_events"))
+    # One row each.
+    joined = total.join(F.broadcast(found), F.col("rows_events") >= F.col("bound"))
+    return joined.select("rows_events", (F.col("rows_events") - F.col("bound")).alias("unbound_events"), "bad_rows")
+
+
 def explode_rows(events: DataFrame) -> DataFrame:
     """One output per changed row, in order: `row_index` and `row_change` (before, after, error)."""
     kept = [c for c in events.columns if c != "rows"]
