@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.llm.alignment import alignment_report
 from tidelog.llm.ann import nearest_neighbours
 from tidelog.llm.classifier import quality_scores
 from tidelog.llm.common import table
+from tidelog.llm.merkle import merkle_report
 from tidelog.llm.mixing import mix_report
 from tidelog.llm.packing import packed
 from tidelog.llm.rules import quality_report
@@ -17,6 +19,7 @@ from tidelog.llm.simhash import near_duplicate_report
 from tidelog.llm.substring import substring_report
 from tidelog.llm.suffix import suffix_report
 from tidelog.llm.templates import line_dedup_report
+from tidelog.llm.urls import url_report
 from tidelog.llm.warc import archive_report
 
 
@@ -61,5 +64,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_report(table(spark, sf_dir, "documents"))
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_report(table(spark, sf_dir, "pages"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
