@@ -170,6 +170,11 @@ def derive_row_events(spark: SparkSession, sf: str) -> DataFrame:
     return metadata.unionByName(maps).unionByName(rows)
 
 
+def alternating_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The log as if the server had three table ids only: each is bound to another name again and again."""
+    return row_events(spark, sf).withColumn("table_id", F.col("table_id") % 3)
+
+
 def _catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events")
     return events.select(database_of(F.col("user_id")).alias("db_name"), F.col("event_type").alias("table_name")).distinct()

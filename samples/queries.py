@@ -29,11 +29,11 @@ from tidelog.streaming.capture import (
     capture_stream,
     fan_out,
     log_sink,
-    resolve_tables_stream,
     start_from,
     store_sink,
     table_sink,
 )
+from tidelog.streaming.state import resolve_tables_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -328,6 +328,18 @@ def q_resolve_tables(spark, sf):
     return resolved.select("file_no", "start_pos", "event_type", "table_id", "db_name", "table_name")
 
 
+def q_resolve_alternating(spark, sf):
+    """A log whose table ids go to and fro between names, resolved without room for a broadcast."""
+    key = "spark.tidelog.broadcastBytes"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "1")
+    try:
+        resolved = resolve_tables(L.alternating_log(spark, sf))
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    return resolved.select("file_no", "start_pos", "event_type", "table_id", "db_name", "table_name")
+
+
 def q_attach_columns(spark, sf):
     named = C.attach_columns(_feed(spark, sf), _catalogs(spark, sf)[0])
     return named.select("event_id", "db_name", "table_name", F.array_join("columns", ",").alias("columns"))
@@ -468,6 +480,25 @@ def q_stream_resolve_tables(spark, sf):
     return spark.read.parquet(path).drop("batch_id")
 
 
+def q_stream_out_of_order(spark, sf):
+    """Every log file in five parts of interleaved chunks, landed from the last part to the first."""
+    state, path, landed = (scratch_dir(spark, n) for n in ("state", "resolved", "landed"))
+    log = L.row_events(spark, sf)
+    part = F.floor(F.col("start_pos") / 3000) % 5
+    for k in reversed(range(5)):
+        log.filter(part == k).repartition(1).write.mode("append").parquet(landed)
+
+    def run(batch, batch_id):
+        resolved = resolve_tables_stream(batch, batch_id, state)
+        kept = resolved.select("file_no", "start_pos", "event_type", "table_id", "db_name", "table_name")
+        kept.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    stream = read_row_events(spark, landed, stream=True, max_files=1)
+    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", scratch_dir(spark, "checkpoint"))
+    writer.trigger(**_DRAIN).start().awaitTermination()
+    return spark.read.parquet(path).drop("batch_id")
+
+
 def q_stream_refresh_catalog(spark, sf):
     """Capture that starts with empty catalogs and loads each table at first sight."""
     path = scratch_dir(spark, "events")

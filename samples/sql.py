@@ -304,9 +304,10 @@ def oracle_sql() -> dict[str, str]:
 
     # Joins
     bound = _with(EV, LOG, BOUND)
-    sql["resolve_tables"] = sql["stream_resolve_tables"] = bound + (
-        "SELECT file_no, start_pos, event_type, table_id, db_name, table_name FROM bound"
-    )
+    names = "SELECT file_no, start_pos, event_type, table_id, db_name, table_name FROM bound"
+    sql["resolve_tables"] = sql["stream_resolve_tables"] = sql["stream_out_of_order"] = bound + names
+    few_ids = "few AS (SELECT * REPLACE (table_id % 3 AS table_id) FROM log)"
+    sql["resolve_alternating"] = _with(EV, LOG, few_ids, BOUND.replace("FROM log)", "FROM few)")) + names
     feed_catalog = _with(FEED, CATALOGS)
     attach = "SELECT event_id, db_name, table_name, array_to_string(coalesce({}, []), ',') AS {} FROM feed LEFT JOIN catalog USING (db_name, table_name)"
     sql["attach_columns"] = feed_catalog + attach.format("names", "columns")

@@ -250,7 +250,7 @@ def stream(spark, path, catalogs, sink, checkpoint, **options):
 
 
 def test_stream_equals_batch_across_restarts(spark, catalogs, tmp_path, monkeypatch):
-    monkeypatch.setattr("tidelog.streaming.state._SNAPSHOT_EVERY", 2)
+    monkeypatch.setattr("tidelog.streaming.state.RADIX", 2)
     landed, out, store, check = (str(tmp_path / n) for n in ("landed", "out", "store", "check"))
     log = sample().insert(1, (8, "late", 1)).update(2, (7, "x"), (7, "y"))
     expected = parsed(capture(log.frame(spark), *catalogs))

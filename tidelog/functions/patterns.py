@@ -46,6 +46,12 @@ def any_match(col: Column, patterns: str | None) -> Column:
     return reduce(or_, [wildcard_match(col, part) for part in parts])
 
 
+def pattern_filter(databases: str | None = "", tables: str | None = "") -> Column | None:
+    """The test for wanted databases and tables; none where everything is wanted."""
+    tests = [any_match(F.col(c), p) for c, p in (("db_name", databases), ("table_name", tables)) if split_patterns(p)]
+    return reduce(and_, tests) if tests else None
+
+
 def filter_changes(
     df: DataFrame,
     databases: str | None = "",

@@ -1,18 +1,16 @@
 """Binding of rows events to their tables: the latest table map of the same id, earlier in the same file."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.patterns import filter_changes
+from tidelog.functions.patterns import pattern_filter
 from tidelog.functions.render import ROW_EVENT_TYPES
+from tidelog.operators.asof import asof_join, with_until
 from tidelog.operators.scan import Running, running
-from tidelog.settings import broadcast_bytes, chunk_bytes
+from tidelog.settings import chunk_bytes
 
 _ID = ["file_no", "table_id"]
 
-# Names that one table id may have in one file for the broadcast join (each row is compared with all of them).
-_MAX_NAMES = 16
-
 
 def rows_events_only(row_events: DataFrame) -> DataFrame:
     """Drop events that carry no rows: table maps, metadata, and events without a readable body."""
@@ -27,10 +25,6 @@ def _is_map() -> Column:
     return F.col("event_type") == "TABLE_MAP"
 
 
-def _binding() -> Column:
-    return F.struct("start_pos", "db_name", "table_name")
-
-
 def table_bindings(row_events: DataFrame) -> DataFrame:
     """(file_no, table_id, db_name, table_name, from_pos, last_pos): first and last map of each name of a table id.
 
@@ -42,62 +36,47 @@ def table_bindings(row_events: DataFrame) -> DataFrame:
     )
 
 
-def _spans(bindings: DataFrame) -> DataFrame:
-    """Add `until_pos`, where the next name of the same table id begins."""
-    return bindings.withColumn("until_pos", F.lead("from_pos").over(Window.partitionBy(*_ID).orderBy("from_pos")))
-
+def name_changes(maps: DataFrame, keys: list[str]) -> DataFrame:
+    """The maps that bind a key to another name than the map before, as (keys, from_pos, db_name, table_name).
 
-def _broadcastable(spans: DataFrame) -> bool:
-    """Whether names follow each other without alternating, are few per table id and small altogether.
-
-    Runs one aggregate over the table maps.
+    Reads headers only. A key of any size is many chunks of log.
     """
-    text = F.octet_length("db_name") + F.octet_length("table_name") + F.lit(64)
-    per_id = spans.groupBy(*_ID).agg(
-        F.max(F.coalesce(F.col("last_pos") > F.col("until_pos"), F.lit(False))).alias("alternating"),
-        F.count("*").alias("names"),
-        F.sum(text).alias("bytes"),
+    name = F.struct("db_name", "table_name")
+    slim = maps.select(*keys, "start_pos", "db_name", "table_name")
+    before = running(
+        slim, keys, _chunk(slim), [F.col("start_pos")],
+        {"_before": Running("max", F.struct("start_pos", "db_name", "table_name"), inclusive=False)},
     )
-    alternating, most, size = per_id.agg(F.max("alternating"), F.max("names"), F.sum("bytes")).first()
-    return not alternating and (most or 0) <= _MAX_NAMES and (size or 0) <= broadcast_bytes(spans.sparkSession)
+    earlier = F.struct("_before.db_name", "_before.table_name")
+    changed = before.filter(F.col("_before").isNull() | ~earlier.eqNullSafe(name))
+    return changed.select(*keys, F.col("start_pos").alias("from_pos"), "db_name", "table_name")
 
 
-def _join_spans(events: DataFrame, spans: DataFrame, databases: str, tables: str) -> DataFrame:
-    """Rows events meet their name in a broadcast join; no event is shuffled, unwanted tables never match."""
-    wanted = filter_changes(spans, databases, tables)
-    e, s = events.drop("db_name", "table_name").alias("e"), F.broadcast(wanted).alias("s")
-    inside = (F.col("e.start_pos") > F.col("s.from_pos")) & (
-        F.col("s.until_pos").isNull() | (F.col("e.start_pos") < F.col("s.until_pos"))
-    )
-    on = (F.col("e.file_no") == F.col("s.file_no")) & (F.col("e.table_id") == F.col("s.table_id")) & inside
-    return e.join(s, on).select("e.*", "s.db_name", "s.table_name")
+def _alternating(bindings: DataFrame) -> bool:
+    """Whether a table id goes to and fro between names, so that first and last maps don't tell its spans."""
+    spans = with_until(bindings, _ID)
+    return bool(spans.agg(F.max(F.col("last_pos") > F.col("until_pos"))).first()[0])
 
 
-def _scan_bindings(row_events: DataFrame, databases: str, tables: str) -> DataFrame:
-    """Maps and rows events in log order, the latest map carried forward; one shuffle, by file, id and chunk."""
-    both = row_events.filter((_is_map() | F.col("event_type").isin(ROW_EVENT_TYPES)) & F.col("table_id").isNotNull())
-    found = running(
-        both, _ID, _chunk(both), [F.col("start_pos")], {"binding": Running("max", F.when(_is_map(), _binding()))}
-    )
-    resolved = rows_events_only(found).filter(F.col("binding").isNotNull())
-    resolved = (
-        resolved.withColumn("db_name", F.col("binding.db_name"))
-        .withColumn("table_name", F.col("binding.table_name"))
-        .drop("binding")
-    )
-    return filter_changes(resolved, databases, tables)
+def bind(events: DataFrame, maps: DataFrame, keys: list[str], databases: str = "", tables: str = "") -> DataFrame:
+    """Events of the wanted tables with the names of the latest map of the same keys before them; others are left out."""
+    wanted = pattern_filter(databases, tables)
+    return asof_join(events, name_changes(maps, keys), keys, ["db_name", "table_name"], wanted=wanted)
 
 
 def resolve_tables(row_events: DataFrame, databases: str = "", tables: str = "") -> DataFrame:
     """Rows events of the wanted tables with `db_name` and `table_name`; an event without an earlier map is skipped.
 
-    The bindings are measured first. While they fit a broadcast the events are not shuffled. Otherwise (too many, or a
-    table id that goes to and fro between names) the latest map is carried along the log instead.
+    No event is shuffled, however many maps there are (see `asof_join`). As a rule one aggregate over the maps gives the
+    spans of names; where a table id goes to and fro between names, the maps' headers are walked in log order.
     """
-    spans = _spans(table_bindings(row_events))
-    if _broadcastable(spans):
-        return _join_spans(rows_events_only(row_events), spans, databases, tables)
-    return _scan_bindings(row_events, databases, tables)
+    events = rows_events_only(row_events)
+    bindings = table_bindings(row_events)
+    if _alternating(bindings):
+        maps = row_events.filter(_is_map() & F.col("table_id").isNotNull())
+        return bind(events, maps, _ID, databases, tables)
+    points = bindings.filter(F.col("table_id").isNotNull()).drop("last_pos")
+    return asof_join(events, points, _ID, ["db_name", "table_name"], wanted=pattern_filter(databases, tables))
 
 
 def skipped_counts(row_events: DataFrame) -> DataFrame:

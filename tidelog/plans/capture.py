@@ -123,7 +123,11 @@ def capture(
 
     Tables are resolved and filtered, and the catalogs joined, once per rows event and before any cell is rendered.
     """
-    events = resolve_tables(row_events, databases, tables)
+    return capture_resolved(resolve_tables(row_events, databases, tables), columns, primary_keys)
+
+
+def capture_resolved(events: DataFrame, columns: DataFrame, primary_keys: DataFrame) -> DataFrame:
+    """Change events of rows events whose tables are known."""
     named = lookup_join(events, keyed_catalog(columns, primary_keys), TABLE_KEY, spread_by=["file_no", "start_pos"])
     return change_events(drop_bad_rows(explode_rows(named)))
 

@@ -83,7 +83,6 @@ CATALOG_COLUMN_ROWS = struct(db_name=_TEXT, table_name=_TEXT, column_name=_TEXT,
 CATALOG_KEY_ROWS = struct(db_name=_TEXT, table_name=_TEXT, constraint_name=_TEXT, column_name=_TEXT, ordinal=_LONG)
 
 # State between micro-batches.
-TABLE_MAPS = struct(
-    log_name=_TEXT, file_no=_LONG, table_id=_LONG, start_pos=_LONG, db_name=_TEXT, table_name=_TEXT, batch_id=_LONG
-)
-LOADED_TABLES = struct(db_name=_TEXT, table_name=_TEXT, columns=_TEXTS, pk_columns=_TEXTS, batch_id=_LONG)
+TABLE_MAPS = struct(log_name=_TEXT, file_no=_LONG, table_id=_LONG, start_pos=_LONG, db_name=_TEXT, table_name=_TEXT)
+COVERAGE = struct(file_no=_LONG, from_pos=_LONG, to_pos=_LONG)
+LOADED_TABLES = struct(db_name=_TEXT, table_name=_TEXT, columns=_TEXTS, pk_columns=_TEXTS)
