@@ -29,7 +29,7 @@ from tidelog.settings import scratch_dir  # noqa: E402
 from tidelog.sinks.change_log import change_log_lines  # noqa: E402
 from tidelog.sinks.event_store import FULL, append_events  # noqa: E402
 from tidelog.sinks.export import export_csv, export_json  # noqa: E402
-from tidelog.sources.tables import read_event_store  # noqa: E402
+from tidelog.sources.event_store import read_event_store  # noqa: E402
 from tidelog.streaming.capture import capture_stream, table_sink  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

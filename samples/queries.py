@@ -24,7 +24,8 @@ from tidelog.sinks.change_log import at_or_above_level, change_log_lines, write_
 from tidelog.sinks.event_store import FULL, ID_ONLY, append_events, to_store_row
 from tidelog.sinks.export import export_csv, export_json
 from tidelog.sources.change_log import read_change_log
-from tidelog.sources.tables import read_event_store, read_row_events
+from tidelog.sources.event_store import read_event_store
+from tidelog.sources.tables import read_row_events
 from tidelog.streaming.capture import (
     capture_stream,
     fan_out,

@@ -18,7 +18,7 @@ MAX_POINTS = 16
 _KEPT_CHUNKS = 4
 
 
-def _size(points: DataFrame, keys: list[str], values: list[str]) -> tuple[int, int]:
+def measured(points: DataFrame, keys: list[str], values: list[str]) -> tuple[int, int]:
     """Bytes of all points, about, and the most of one key. One aggregate, from one row per key."""
     text = [F.octet_length(v) for v, kind in points.dtypes if v in values and kind == "string"]
     each = sum((F.coalesce(t, F.lit(0)) for t in text), F.lit(16 + 8 * (len(keys) + len(values))))
@@ -164,18 +164,24 @@ def _by_chunks(facts: DataFrame, points: DataFrame, keys: list[str], values: lis
 
 
 def asof_join(
-    facts: DataFrame, points: DataFrame, keys: list[str], values: list[str], how: str = "inner", wanted: Column | None = None
+    facts: DataFrame,
+    points: DataFrame,
+    keys: list[str],
+    values: list[str],
+    how: str = "inner",
+    wanted: Column | None = None,
+    size: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Facts with the `values` of the last point of the same `keys` whose `from_pos` is below the fact's `start_pos`.
 
     `keys` are whole numbers, `file_no` first. Facts without such a point are left out (`inner`) or get nulls (`left`). Of
     points at one place any may win. With `wanted`, a test on the points, an inner join keeps only facts whose point passes
-    it. A position up to that of the next point belongs to the point before.
+    it. A position up to that of the next point belongs to the point before. `size` is what `measured` gave, if known.
     """
     spans = with_until(points, keys)
     kept = spans if wanted is None else spans.filter(wanted)
-    size, most = _size(kept, keys, values)
-    if size <= broadcast_bytes(facts.sparkSession) and most <= MAX_POINTS:
+    total, most = size or measured(kept, keys, values)
+    if total <= broadcast_bytes(facts.sparkSession) and most <= MAX_POINTS:
         return _by_broadcast(facts, kept, keys, values, how)
     found = _by_chunks(facts, points, keys, values, how)
     return found if wanted is None else found.filter(wanted)

@@ -1,17 +1,23 @@
 """Appending to the event store.
 
-The store is a parquet table with one folder per append (`writer=<name>/batch_id=<n>`). Beside the data, `_heads` holds
-one row per append with its last id, so that the next append need not scan the store. An append that runs again
-rewrites its own folder and counts on from the other appends, so no id is given twice.
+The store is a parquet table with one folder per append. Beside the data, `_ledger` holds two small files per append, each
+published under a name that only one writer can take: a reservation, made before anything is written, which takes the next
+range of ids and with it the folder, and a commit, made after the data is whole. Readers open committed folders only, so a
+half-written append is invisible; ranges follow each other, so no id is given twice, whoever writes. An append that runs
+again finds its reservation and writes the same ids; one that is committed is not written again.
 """
 
-from pyspark.sql import DataFrame, Observation
+import json
+from dataclasses import asdict, dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.instants import now_text
-from tidelog.operators.ids import assign_ids, next_id
-from tidelog.schema import EVENT_STORE, STORE_HEADS
-from tidelog.sources.tables import read_batches
+from tidelog.operators.ids import numbered_rows
+from tidelog.schema import EVENT_STORE
+from tidelog.sources.event_store import LEDGER, commit_file, reservation_file
+from tidelog.sources.files import exists, names_in, publish, read_text, replace
 
 FULL = "full"
 ID_ONLY = "id-only"
@@ -19,6 +25,17 @@ ID_ONLY = "id-only"
 _APPEND = "append"
 
 
+@dataclass(frozen=True)
+class Reservation:
+    """A range of ids, and who writes them: ids first to first + rows - 1 in folder `append=<number>`."""
+
+    number: int
+    first: int
+    rows: int
+    writer: str
+    batch_id: int | None
+
+
 def to_store_row(events: DataFrame, mode: str = ID_ONLY) -> DataFrame:
     """Change events as store rows. Mode `full` keeps the row JSON; any other mode leaves it null."""
 
@@ -39,24 +56,65 @@ def to_store_row(events: DataFrame, mode: str = ID_ONLY) -> DataFrame:
     )
 
 
+def _reservation(spark: SparkSession, path: str, number: int) -> Reservation:
+    return Reservation(**json.loads(read_text(spark, reservation_file(path, number))))
+
+
+def _latest(spark: SparkSession, path: str) -> Reservation | None:
+    """The last reservation; lists the folders of the ledger and the newest one."""
+    groups = [n for n in names_in(spark, f"{path}/{LEDGER}") if n.startswith("group=")]
+    names = [n for n in names_in(spark, f"{path}/{LEDGER}/{groups[-1]}") if n.startswith("reserved-")] if groups else []
+    return _reservation(spark, path, int(names[-1].split("-")[1].split(".")[0])) if names else None
+
+
+def _own(spark: SparkSession, path: str, writer: str, batch_id: int) -> Reservation | None:
+    """What this append took before; its note of that is written right after the reservation."""
+    note = f"{path}/{LEDGER}/writers/{writer}/{batch_id}.json"
+    return _reservation(spark, path, int(read_text(spark, note))) if exists(spark, note) else None
+
+
+def is_committed(spark: SparkSession, path: str, number: int) -> bool:
+    return exists(spark, commit_file(path, number))
+
+
+def reserve(spark: SparkSession, path: str, rows: int, writer: str, batch_id: int | None) -> Reservation:
+    """Take the next range of ids, or find the one that this append took before.
+
+    Of writers that want the same place in the ledger one gets it; the others read its range and try the next place.
+    """
+    own = _own(spark, path, writer, batch_id) if batch_id is not None else None
+    last = _latest(spark, path)
+    # A writer that was stopped between taking a range and its note of it finds the range if it is still the last.
+    if own is None and batch_id is not None and last and (last.writer, last.batch_id) == (writer, batch_id):
+        own = last
+    # A range of another length was for other input, and nobody has seen its ids.
+    if own is not None and (own.rows == rows or is_committed(spark, path, own.number)):
+        return own
+    while True:
+        mine = Reservation(last.number + 1, last.first + last.rows, rows, writer, batch_id) if last else Reservation(0, 1, rows, writer, batch_id)
+        if publish(spark, reservation_file(path, mine.number), json.dumps(asdict(mine))):
+            break
+        last = _reservation(spark, path, mine.number)
+    if batch_id is not None:
+        replace(spark, f"{path}/{LEDGER}/writers/{writer}/{batch_id}.json", str(mine.number))
+    return mine
+
+
 def append_events(
     events: DataFrame, path: str, mode: str = ID_ONLY, batch_id: int | None = None, writer: str = _APPEND
 ) -> None:
-    """Append change events with ids that go on from the highest stored one.
+    """Append change events with ids that go on from the highest one given out.
 
-    `writer` and `batch_id` name an append that may be repeated; without a `batch_id` each call is a new append.
+    `writer` and `batch_id` name an append that may be repeated; without a `batch_id` each call is a new append. Several
+    writers may append at the same time.
     """
     spark = events.sparkSession
-    heads = read_batches(spark, f"{path}/_heads", STORE_HEADS, ["writer", "batch_id"])
-    own = F.col("writer") == writer
-    if batch_id is None:
-        batch_id = heads.filter(own).agg(F.coalesce(F.max("batch_id"), F.lit(-1)) + 1).first()[0]
-    first = next_id(heads.filter(~own | (F.col("batch_id") < batch_id))).first()["next_id"]
-
-    folder = f"writer={writer}/batch_id={batch_id}"
-    written = Observation()
-    rows = to_store_row(assign_ids(events, first), mode).select(*EVENT_STORE.names)
-    rows.observe(written, F.max("id").alias("last")).write.mode("overwrite").parquet(f"{path}/{folder}")
-    last = written.get["last"]
-    head = spark.range(1).select(F.lit(first - 1 if last is None else last).cast("bigint").alias("id"))
-    head.write.mode("overwrite").parquet(f"{path}/_heads/{folder}")
+    rows, numbered = numbered_rows(events)
+    mine = reserve(spark, path, rows, writer, batch_id)
+    if is_committed(spark, path, mine.number):
+        return
+    folder = f"append={mine.number}"
+    with_ids = numbered.withColumn("id", F.col("id") + F.lit(mine.first - 1))
+    to_store_row(with_ids, mode).select(*EVENT_STORE.names).write.mode("overwrite").parquet(f"{path}/{folder}")
+    commit = {"folder": folder, "first": mine.first, "rows": mine.rows}
+    publish(spark, commit_file(path, mine.number), json.dumps(commit))

@@ -34,6 +34,16 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def replace(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, over any that is there."""
+    place, store = _at(spark, path)
+    stream = store.create(place, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def publish(spark: SparkSession, path: str, text: str) -> bool:
     """Write a file whole under a name that nobody else has taken; False, and nothing written, if somebody has.
 

@@ -2,9 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidelog.schema import CATALOG_COLUMN_ROWS, CATALOG_KEY_ROWS, EVENT_STORE, ROW_EVENTS
+from tidelog.schema import CATALOG_COLUMN_ROWS, CATALOG_KEY_ROWS, ROW_EVENTS
 
 # Names of the information-schema views and of their columns.
 _CATALOG_VIEWS = {
@@ -40,14 +39,3 @@ def read_catalog_rows(spark: SparkSession, kind: str, url: str, **options: str)
     return rows.select(
         *[F.col(_CATALOG_FIELDS[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields]
     )
-
-
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, batch_columns: list[str]) -> DataFrame:
-    """A parquet table with one folder per batch, which is created empty where nothing has been written yet."""
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*batch_columns).parquet(path)
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
-
-
-def read_event_store(spark: SparkSession, path: str) -> DataFrame:
-    """The stored events: eight columns in fixed order."""
-    return spark.read.schema(EVENT_STORE).parquet(path).select(*EVENT_STORE.names)
