@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samples import log as L
-from samples.sql import LIMIT, NOW_TS, POSITION, REPLAY, SINCE, SINCE_TS, UNTIL, UNTIL_TS
+from samples.sql import ID_RANGE, LIMIT, NOW_TS, POSITION, REPLAY, SINCE, SINCE_TS, UNTIL, UNTIL_TS
 from tidelog.functions import instants as I
 from tidelog.functions import render as R
 from tidelog.functions.csvtext import csv_field
@@ -24,12 +24,14 @@ from tidelog.sinks.change_log import at_or_above_level, change_log_lines, write_
 from tidelog.sinks.event_store import FULL, ID_ONLY, append_events, to_store_row
 from tidelog.sinks.export import export_csv, export_json
 from tidelog.sources.change_log import read_change_log
-from tidelog.sources.event_store import read_event_store
+from tidelog.sources.event_store import read_event_store, register_event_store, store_commits
+from tidelog.sources.files import names_in
 from tidelog.sources.tables import read_row_events
 from tidelog.streaming.capture import (
     capture_stream,
     fan_out,
     log_sink,
+    replay_refused,
     start_from,
     store_sink,
     table_sink,
@@ -139,6 +141,34 @@ def q_read_event_store(spark, sf):
     return _stored(_store(spark, sf))
 
 
+def _store_in_parts(spark, sf) -> str:
+    """All events of the log, appended in three parts by two writers."""
+    path = scratch_dir(spark, "store")
+    events = _captured(spark, sf)
+    part = F.col("file_no") % 3
+    for k, writer in enumerate(["first", "second", "first"]):
+        append_events(events.filter(part == k), path, FULL, batch_id=k, writer=writer)
+        append_events(events.filter(part == k), path, FULL, batch_id=k, writer=writer)  # the same append again
+    return path
+
+
+def q_store_commits(spark, sf):
+    return store_commits(spark, _store_in_parts(spark, sf))
+
+
+def q_store_id_range(spark, sf):
+    return _stored(read_event_store(spark, _store_in_parts(spark, sf), *ID_RANGE))
+
+
+def q_store_sql(spark, sf):
+    """SQL over a store that is registered as a view."""
+    register_event_store(spark, _store_in_parts(spark, sf), "kept_events")
+    return spark.sql(
+        "SELECT db_name, table_name, operation, count(*) AS events, min(event_time) AS earliest FROM kept_events "
+        "GROUP BY db_name, table_name, operation"
+    )
+
+
 # Sinks
 
 
@@ -518,6 +548,26 @@ def q_stream_fan_out(spark, sf):
     return _event_columns(read_change_log(spark, log_path))
 
 
+def q_stream_refused_batches(spark, sf):
+    """A store that fails for the first two batches holds all events in the end; the log is unchanged."""
+    log_path, store_path, refused = (scratch_dir(spark, n) for n in ("log", "store", "refused"))
+    keep, calls = store_sink(store_path, FULL), []
+
+    def failing(events, batch_id):
+        calls.append(batch_id)
+        if len(calls) <= 2:
+            raise OSError("store is away")
+        keep(events, batch_id)
+
+    _run_stream(spark, sf, fan_out(log_sink(log_path), failing, refused=refused))
+    for writer in names_in(spark, refused):
+        replay_refused(spark, refused, writer.split("=")[1], keep)
+    stored = read_event_store(spark, store_path).drop("id", "captured_at")
+    logged = read_change_log(spark, log_path).select(F.lit("log").alias("kept_in"), "operation", "database", "table", "row")
+    names = ["operation", F.col("db_name").alias("database"), F.col("table_name").alias("table"), F.col("row_data").alias("row")]
+    return logged.unionByName(stored.select(F.lit("store").alias("kept_in"), *names))
+
+
 def q_stream_read_change_log(spark, sf):
     path, out = scratch_dir(spark, "change-log"), scratch_dir(spark, "read")
     write_change_log(_captured(spark, sf), path)

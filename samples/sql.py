@@ -8,6 +8,7 @@ SINCE_TS, UNTIL_TS = 1704844800, 1705708800
 REPLAY, REPLAY_TS = "2024-01-15T12:00:00Z", 1705320000
 POSITION = (1, 128000)
 LIMIT = 5000
+ID_RANGE = (101, 4500)
 
 
 def _list(items) -> str:
@@ -296,6 +297,18 @@ def oracle_sql() -> dict[str, str]:
     sql["export_filtered"] = export + "WHERE db_name = 'app_1' AND table_name = 'click' AND operation = 'UPDATE'"
     sql["export_limit"] = export + f"ORDER BY id LIMIT {LIMIT}"
     sql["export_events"] = export + "WHERE operation = 'INSERT' ORDER BY id LIMIT 500"
+    parts = _with(*_ALL, """store AS (
+  SELECT row_number() OVER (ORDER BY file_no % 3, file_no, start_pos, row_index) AS id, "timestamp" AS event_time, operation,
+         "database" AS db_name, "table" AS table_name, primary_key, "row" AS row_data, file_no % 3 AS part
+  FROM captured)""")
+    sql["store_id_range"] = parts + f"SELECT {_STORE_COLS} FROM store WHERE id BETWEEN {ID_RANGE[0]} AND {ID_RANGE[1]}"
+    sql["store_sql"] = parts + (
+        "SELECT db_name, table_name, operation, count(*) AS events, min(event_time) AS earliest FROM store GROUP BY ALL"
+    )
+    sql["store_commits"] = parts + (
+        "SELECT 'append=' || k::VARCHAR AS folder, (1 + count(*) FILTER (part < k))::BIGINT AS first, "
+        "count(*) FILTER (part = k) AS rows FROM store, range(3) r(k) GROUP BY k"
+    )
     sql["files_overlapping"] = ranges + f"SELECT log_name, file_no, start_time, end_time FROM ranges WHERE {_OVERLAP}"
     sql["level_filter"] = (
         "SELECT event_id, level FROM (SELECT event_id, ['debug', 'INFO', 'Warn', 'WARNING', 'error', 'noise']"
@@ -374,5 +387,8 @@ def oracle_sql() -> dict[str, str]:
         "SELECT count(*) AS rows, min(id) AS first_id, max(id) AS last_id, count(DISTINCT id) AS ids FROM store"
     )
     sql["stream_refresh_catalog"] = events + whole
+    sql["stream_refused_batches"] = events + (
+        'SELECT kept_in, operation, "database", "table", "row" FROM captured, (VALUES (\'log\'), (\'store\')) k(kept_in)'
+    )
     sql["stream_fan_out"] = events + f"SELECT {EVENT_COLS} FROM captured"
     return sql
