@@ -22,12 +22,12 @@ from samples.sql import NOW_TS, REPLAY, SINCE, UNTIL  # noqa: E402
 from tidelog.operators.ids import assign_ids  # noqa: E402
 from tidelog.operators.resolve import drop_bad_rows, explode_rows, resolve_tables  # noqa: E402
 from tidelog.operators.seek import seek_positions  # noqa: E402
-from tidelog.plans.capture import capture, replay_since  # noqa: E402
+from tidelog.plans.capture import capture, numbered_capture, replay_since  # noqa: E402
 from tidelog.plans.export import export_events  # noqa: E402
 from tidelog.plans.inventory import log_inventory  # noqa: E402
 from tidelog.settings import scratch_dir  # noqa: E402
 from tidelog.sinks.change_log import change_log_lines  # noqa: E402
-from tidelog.sinks.event_store import FULL, append_events  # noqa: E402
+from tidelog.sinks.event_store import FULL, append_events, append_numbered  # noqa: E402
 from tidelog.sinks.export import export_csv, export_json  # noqa: E402
 from tidelog.sources.event_store import read_event_store  # noqa: E402
 from tidelog.streaming.capture import capture_stream, table_sink  # noqa: E402
@@ -89,7 +89,7 @@ def main() -> None:
         "replay_since": lambda: consume(replay_since(events, columns, keys, since=REPLAY)),
         "log_inventory": lambda: consume(log_inventory(events, NOW_TS, SINCE, UNTIL)),
         "assign_ids": lambda: consume(assign_ids(rows())),
-        "append_full": lambda: append_events(capture(events, columns, keys), scratch_dir(spark, "store"), FULL),
+        "append_full": lambda: append_numbered(*numbered_capture(events, columns, keys), scratch_dir(spark, "store"), FULL),
         "export_csv": lambda: export_csv(export_events(store), scratch_dir(spark, "csv")),
         "export_json": lambda: export_json(export_events(store), scratch_dir(spark, "json")),
         "export_limit": lambda: consume(export_events(store, operation="INSERT", limit=20000)),

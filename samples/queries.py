@@ -14,14 +14,21 @@ from tidelog.functions.patterns import any_match, filter_changes, wildcard_match
 from tidelog.operators import catalog as C
 from tidelog.operators import positions as P
 from tidelog.operators.ids import assign_ids, next_id
-from tidelog.operators.resolve import drop_bad_rows, explode_rows, resolve_tables, rows_events_only, skipped_counts
+from tidelog.operators.resolve import (
+    drop_bad_rows,
+    explode_rows,
+    rejected_rows,
+    resolve_tables,
+    rows_events_only,
+    skipped_counts,
+)
 from tidelog.operators.seek import resolve_start, seek_positions
-from tidelog.plans.capture import capture, replay_since
+from tidelog.plans.capture import Skipped, capture, numbered_capture, replay_since
 from tidelog.plans.export import export_events, export_filter
 from tidelog.plans.inventory import inventory_current, log_inventory
 from tidelog.settings import scratch_dir
 from tidelog.sinks.change_log import at_or_above_level, change_log_lines, write_change_log
-from tidelog.sinks.event_store import FULL, ID_ONLY, append_events, to_store_row
+from tidelog.sinks.event_store import FULL, ID_ONLY, append_events, append_numbered, to_store_row
 from tidelog.sinks.export import export_csv, export_json
 from tidelog.sources.change_log import read_change_log
 from tidelog.sources.event_store import read_event_store, register_event_store, store_commits
@@ -180,6 +187,13 @@ def q_event_store_full(spark, sf):
     return _stored(_store(spark, sf, FULL))
 
 
+def q_event_store_numbered(spark, sf):
+    """Ids from headers: the whole log in one append."""
+    path = scratch_dir(spark, "store")
+    append_numbered(*numbered_capture(L.row_events(spark, sf), *_catalogs(spark, sf)), path, FULL)
+    return _stored(read_event_store(spark, path))
+
+
 def q_event_store_id_only(spark, sf):
     return _stored(_store(spark, sf, ID_ONLY))
 
@@ -320,6 +334,19 @@ def q_skipped_counts(spark, sf):
     return skipped_counts(L.row_events(spark, sf))
 
 
+def q_capture_counts(spark, sf):
+    """What a capture left out, counted by the run that wrote its events."""
+    skipped = Skipped()
+    capture(L.row_events(spark, sf), *_catalogs(spark, sf), skipped=skipped).write.parquet(scratch_dir(spark, "events"))
+    n = skipped.counts()
+    counts = [(n["rows_events"], n["rows_events"] - n["bound_events"], n["bad_rows"])]
+    return spark.createDataFrame(counts, "rows_events bigint, unbound_events bigint, bad_rows bigint")
+
+
+def q_rejected_rows(spark, sf):
+    return rejected_rows(L.row_events(spark, sf))
+
+
 def q_drop_bad_rows(spark, sf):
     return drop_bad_rows(_changed(spark, sf)).select(*_PLACE)
 

@@ -216,7 +216,7 @@ def oracle_sql() -> dict[str, str]:
         + pk_list + """ || ',"primary_key":' || primary_key || ',"row":' || "row" || '}'"""
     )
     sql["change_log_lines"] = events + f"SELECT {line} AS value FROM captured"
-    sql["event_store_full"] = store + f"SELECT {_STORE_COLS} FROM store"
+    sql["event_store_full"] = sql["event_store_numbered"] = store + f"SELECT {_STORE_COLS} FROM store"
     sql["event_store_id_only"] = store + f"SELECT {_STORE_COLS.replace('row_data', 'NULL::VARCHAR AS row_data')} FROM store"
     sql["export_json_lines"] = store + (
         "SELECT to_json({id: id, captured_at: event_time, event_time: event_time, operation: operation, db_name: db_name, "
@@ -284,7 +284,7 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["rows_events_only"] = base + f"SELECT {header} FROM log WHERE row_count IS NOT NULL"
     rows_events = "(SELECT count(*) FROM log WHERE row_count IS NOT NULL)"
-    sql["skipped_counts"] = changed + (
+    sql["skipped_counts"] = sql["capture_counts"] = changed + (
         f"SELECT {rows_events} AS rows_events, {rows_events} - (SELECT count(*) FROM bound) AS unbound_events, "
         "(SELECT count(*) FROM changed WHERE error IS NOT NULL) AS bad_rows"
     )
@@ -315,6 +315,12 @@ def oracle_sql() -> dict[str, str]:
         "[event_id % 6 + 1] AS level FROM events) WHERE lower(level) IN ('warn', 'warning', 'error')"
     )
 
+    sql["rejected_rows"] = changed + (
+        "SELECT log_name, file_no, start_pos, NULL::INTEGER AS row_index, 'no table map' AS error FROM log l "
+        "WHERE row_count IS NOT NULL AND NOT EXISTS (SELECT 1 FROM bound b WHERE b.e = l.e) UNION ALL "
+        "SELECT log_name, file_no, start_pos, row_index, error FROM changed WHERE error IS NOT NULL"
+    )
+
     # Joins
     bound = _with(EV, LOG, BOUND)
     names = "SELECT file_no, start_pos, event_type, table_id, db_name, table_name FROM bound"

@@ -1,5 +1,7 @@
 """Binding of rows events to their tables: the latest table map of the same id, earlier in the same file."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,13 +66,43 @@ def bind(events: DataFrame, maps: DataFrame, keys: list[str], databases: str = "
     return asof_join(events, name_changes(maps, keys), keys, ["db_name", "table_name"], wanted=wanted)
 
 
-def resolve_tables(row_events: DataFrame, databases: str = "", tables: str = "") -> DataFrame:
+def good_rows() -> Column:
+    """How many rows of an event can be read; scans their error texts only."""
+    return F.size(F.filter("rows.error", lambda error: error.isNull()))
+
+
+def rejected_rows(row_events: DataFrame) -> DataFrame:
+    """What a capture without filters leaves out, with its place: (log_name, file_no, start_pos, row_index, error).
+
+    A row that cannot be read has its own error; an event without a table map is one line without a row_index.
+    """
+    points = name_changes(row_events.filter(_is_map() & F.col("table_id").isNotNull()), _ID)
+    found = asof_join(rows_events_only(row_events), points, _ID, ["db_name", "table_name"], "left")
+    place = ["log_name", "file_no", "start_pos"]
+    unbound = F.col("db_name").isNull() & F.col("table_name").isNull()
+    slim = found.select(*place, unbound.alias("unbound"), F.col("rows.error").alias("errors"))
+    whole = slim.filter("unbound").select(
+        *place, F.lit(None).cast("int").alias("row_index"), F.lit("no table map").alias("error")
+    )
+    single = slim.filter("not unbound").select(*place, F.posexplode("errors").alias("row_index", "error"))
+    return whole.unionByName(single.filter(F.col("error").isNotNull()))
+
+
+def resolve_tables(
+    row_events: DataFrame,
+    databases: str = "",
+    tables: str = "",
+    reading: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Rows events of the wanted tables with `db_name` and `table_name`; an event without an earlier map is skipped.
 
     No event is shuffled, however many maps there are (see `asof_join`). As a rule one aggregate over the maps gives the
-    spans of names; where a table id goes to and fro between names, the maps' headers are walked in log order.
+    spans of names; where a table id goes to and fro between names, the maps' headers are walked in log order. `reading`
+    gets all rows events before their tables are known, to count them.
     """
     events = rows_events_only(row_events)
+    if reading:
+        events = reading(events)
     bindings = table_bindings(row_events)
     if _alternating(bindings):
         maps = row_events.filter(_is_map() & F.col("table_id").isNotNull())

@@ -2,7 +2,7 @@
 
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.instants import format_event_time
@@ -17,12 +17,15 @@ from tidelog.functions.render import (
     primary_key_json,
     row_envelope,
 )
+from tidelog.operators.asof import asof_join
 from tidelog.operators.catalog import TABLE_KEY
 from tidelog.operators.lookup import lookup_join
 from tidelog.operators.positions import from_position
-from tidelog.operators.resolve import drop_bad_rows, explode_rows, resolve_tables
+from tidelog.operators.resolve import drop_bad_rows, explode_rows, good_rows, resolve_tables
+from tidelog.operators.scan import Running, running
 from tidelog.operators.seek import resolve_start
-from tidelog.schema import CHANGE_EVENTS
+from tidelog.settings import chunk_bytes
+from tidelog.sources.files import stored
 
 _MAX_POS = 9223372036854775807
 
@@ -113,23 +116,89 @@ def change_events(rows: DataFrame) -> DataFrame:
         "file_no",
         "start_pos",
         "row_index",
-    ).select(*CHANGE_EVENTS.names)
+        *[c for c in ("id",) if c in rows.columns],
+    )
+
+
+class Skipped:
+    """What one run of a capture leaves out, counted as the rows go by; no scan of its own.
+
+    `rows_events` were read, `bound_events` of them have a wanted table, `bad_rows` of those could not be read. Without
+    filters what is not bound had no table map. Tasks that run again may count twice.
+    """
+
+    def __init__(self):
+        self._read, self._bound = Observation(), Observation()
+
+    def reading(self, events: DataFrame) -> DataFrame:
+        return events.observe(self._read, F.count(F.lit(1)).alias("rows_events"))
+
+    def bound(self, events: DataFrame) -> DataFrame:
+        bad = F.coalesce(F.sum(F.size("rows") - good_rows()), F.lit(0)).cast("bigint").alias("bad_rows")
+        return events.observe(self._bound, F.count(F.lit(1)).alias("bound_events"), bad)
+
+    def counts(self) -> dict[str, int]:
+        """Waits for the run to end."""
+        return {**self._read.get, **self._bound.get}
 
 
 def capture(
-    row_events: DataFrame, columns: DataFrame, primary_keys: DataFrame, databases: str = "", tables: str = ""
+    row_events: DataFrame,
+    columns: DataFrame,
+    primary_keys: DataFrame,
+    databases: str = "",
+    tables: str = "",
+    skipped: Skipped | None = None,
 ) -> DataFrame:
     """Change events of the wanted databases and tables.
 
-    Tables are resolved and filtered, and the catalogs joined, once per rows event and before any cell is rendered.
+    Tables are resolved and filtered, and the catalogs joined, once per rows event and before any cell is rendered. With
+    `skipped`, the run that evaluates the result also counts what is left out.
     """
-    return capture_resolved(resolve_tables(row_events, databases, tables), columns, primary_keys)
+    events = resolve_tables(row_events, databases, tables, skipped and skipped.reading)
+    return capture_resolved(skipped.bound(events) if skipped else events, columns, primary_keys)
+
+
+def numbered_capture(
+    row_events: DataFrame, columns: DataFrame, primary_keys: DataFrame, databases: str = "", tables: str = ""
+) -> tuple[int, DataFrame]:
+    """How many change events there are, and the change events with ids from 1 in log order.
+
+    The ids come from headers: each event's number of readable rows (only their error texts are scanned) gives the id of
+    its first row, which is looked up where the event is. Rows are rendered once, and neither shuffled nor sorted.
+    """
+    spark = row_events.sparkSession
+    events = resolve_tables(row_events, databases, tables)
+    chunk = F.floor(F.col("start_pos") / F.lit(chunk_bytes(spark))).alias("chunk")
+    headers = events.select("file_no", chunk, "start_pos", good_rows().cast("bigint").alias("n")).filter("n > 0")
+    earlier = Window.partitionBy("file_no", "chunk").orderBy("start_pos").rowsBetween(Window.unboundedPreceding, -1)
+    local = stored(headers.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0)) + 1), "first-ids")
+    counts = local.groupBy("file_no", "chunk").agg(F.sum("n").alias("rows"))
+    offsets = running(
+        counts, [], F.col("file_no"), [F.col("chunk")], {"before": Running("sum", F.col("rows"), inclusive=False)}
+    ).select("file_no", "chunk", "before")
+    firsts = local.join(offsets, ["file_no", "chunk"]).select(
+        "file_no", (F.col("start_pos") - 1).alias("from_pos"), (F.col("first") + F.col("before")).alias("first_id")
+    )
+    total = local.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return total, capture_resolved(asof_join(events, firsts, ["file_no"], ["first_id"]), columns, primary_keys)
+
+
+def _exploded(events: DataFrame) -> DataFrame:
+    """The readable rows of events; with `first_id` also their ids."""
+    if "first_id" not in events.columns:
+        return drop_bad_rows(explode_rows(events))
+    placed = F.transform("rows", lambda row, i: F.struct(row.alias("row_change"), i.alias("row_index")))
+    good = F.filter(placed, lambda r: r["row_change"]["error"].isNull())
+    kept = [c for c in events.columns if c not in ("rows", "first_id")]
+    found = events.select(*kept, "first_id", F.posexplode(good).alias("nth", "r"))
+    return found.select(*kept, "r.*", (F.col("first_id") + F.col("nth")).cast("bigint").alias("id"))
 
 
 def capture_resolved(events: DataFrame, columns: DataFrame, primary_keys: DataFrame) -> DataFrame:
     """Change events of rows events whose tables are known."""
     named = lookup_join(events, keyed_catalog(columns, primary_keys), TABLE_KEY, spread_by=["file_no", "start_pos"])
-    return change_events(drop_bad_rows(explode_rows(named)))
+    return change_events(_exploded(named))
 
 
 def start_position(row_events: DataFrame, start_spec: str = "end", since: str | None = None) -> tuple[int, int] | None:

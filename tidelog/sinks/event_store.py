@@ -108,8 +108,14 @@ def append_events(
     `writer` and `batch_id` name an append that may be repeated; without a `batch_id` each call is a new append. Several
     writers may append at the same time.
     """
-    spark = events.sparkSession
-    rows, numbered = numbered_rows(events)
+    append_numbered(*numbered_rows(events), path, mode, batch_id, writer)
+
+
+def append_numbered(
+    rows: int, numbered: DataFrame, path: str, mode: str = ID_ONLY, batch_id: int | None = None, writer: str = _APPEND
+) -> None:
+    """Append that many change events that have ids from 1 already, as `numbered_capture` gives them."""
+    spark = numbered.sparkSession
     mine = reserve(spark, path, rows, writer, batch_id)
     if is_committed(spark, path, mine.number):
         return

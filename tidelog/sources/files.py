@@ -4,7 +4,9 @@ import os
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from tidelog.settings import scratch_dir
 
 
 def _at(spark: SparkSession, path: str):
@@ -76,3 +78,10 @@ def publish(spark: SparkSession, path: str, text: str) -> bool:
         if store.exists(draft):
             store.delete(draft, False)
     return True
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a written table in the shared folder: what follows reads it and never computes it again."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
