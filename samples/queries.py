@@ -35,6 +35,7 @@ from tidelog.sources.event_store import read_event_store, register_event_store,
 from tidelog.sources.files import names_in
 from tidelog.sources.tables import read_row_events
 from tidelog.streaming.capture import (
+    capture_log,
     capture_stream,
     fan_out,
     log_sink,
@@ -514,6 +515,27 @@ def q_stream_from_position(spark, sf):
     return _events_table(spark, path)
 
 
+def q_stream_source_from_end(spark, sf):
+    """A stream that is opened at the end of the log, before the rest of it lands."""
+    path, landed = scratch_dir(spark, "events"), scratch_dir(spark, "landed")
+    log = L.row_events(spark, sf)
+    later = P.from_position(log, *POSITION)
+
+    def land(part, mode):
+        ordered = part.repartition("file_no").sortWithinPartitions("file_no", "start_pos")
+        ordered.write.mode(mode).partitionBy("file_no").parquet(landed)
+
+    land(log.filter((F.col("file_no") == POSITION[0]) & (F.col("start_pos") < POSITION[1])), "overwrite")
+    query = capture_log(spark, landed, *_catalogs(spark, sf), table_sink(path), scratch_dir(spark, "stream"), start="end")
+    try:
+        query.processAllAvailable()
+        land(later, "append")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return _events_table(spark, path)
+
+
 def q_stream_event_store(spark, sf):
     path = scratch_dir(spark, "store")
     _run_stream(spark, sf, store_sink(path, FULL))

@@ -386,7 +386,7 @@ def oracle_sql() -> dict[str, str]:
     sql["replay_since"] = (
         _with(EV, late_log, first_whole, one, seek_one, replay_from, BOUND, CHANGED, CATALOGS, NAMED, CAPTURED) + whole
     )
-    sql["stream_from_position"] = (
+    sql["stream_from_position"] = sql["stream_source_from_end"] = (
         _with(EV, late_log, late.format(f=f, p=p), BOUND, CHANGED, CATALOGS, NAMED, CAPTURED) + whole
     )
     sql["stream_event_store"] = store + (
