@@ -77,7 +77,7 @@ EVENT_STORE = struct(
     primary_key=_TEXT,
     row_data=_TEXT,
 )
-STORE_COMMITS = struct(folder=_TEXT, first=_LONG, rows=_LONG)
+STORE_COMMITS = struct(folder=_TEXT, first=_LONG, rows=_LONG, number=_LONG, writer=_TEXT, batch_id=_LONG)
 
 CATALOG_COLUMN_ROWS = struct(db_name=_TEXT, table_name=_TEXT, column_name=_TEXT, ordinal=_LONG)
 CATALOG_KEY_ROWS = struct(db_name=_TEXT, table_name=_TEXT, constraint_name=_TEXT, column_name=_TEXT, ordinal=_LONG)

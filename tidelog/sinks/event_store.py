@@ -4,7 +4,8 @@ The store is a parquet table with one folder per append. Beside the data, `_ledg
 published under a name that only one writer can take: a reservation, made before anything is written, which takes the next
 range of ids and with it the folder, and a commit, made after the data is whole. Readers open committed folders only, so a
 half-written append is invisible; ranges follow each other, so no id is given twice, whoever writes. An append that runs
-again finds its reservation and writes the same ids; one that is committed is not written again.
+again finds its reservation and writes the same ids; one that is committed is not written again, unless it has another
+number of events: then it takes a range anew, and its last commit is the one that counts.
 """
 
 import json
@@ -27,11 +28,15 @@ _APPEND = "append"
 
 @dataclass(frozen=True)
 class Reservation:
-    """A range of ids, and who writes them: ids first to first + rows - 1 in folder `append=<number>`."""
+    """A range of ids, and who writes them: ids first to first + rows - 1 in folder `append=<number>`.
+
+    No id from `next_id` on has been given out before.
+    """
 
     number: int
     first: int
     rows: int
+    next_id: int
     writer: str
     batch_id: int | None
 
@@ -87,14 +92,18 @@ def reserve(spark: SparkSession, path: str, rows: int, writer: str, batch_id: in
     # A writer that was stopped between taking a range and its note of it finds the range if it is still the last.
     if own is None and batch_id is not None and last and (last.writer, last.batch_id) == (writer, batch_id):
         own = last
-    # A range of another length was for other input, and nobody has seen its ids.
-    if own is not None and (own.rows == rows or is_committed(spark, path, own.number)):
+    if own is not None and own.rows == rows:
         return own
     while True:
-        mine = Reservation(last.number + 1, last.first + last.rows, rows, writer, batch_id) if last else Reservation(0, 1, rows, writer, batch_id)
-        if publish(spark, reservation_file(path, mine.number), json.dumps(asdict(mine))):
+        number, first = (last.number + 1, last.next_id) if last else (0, 1)
+        # The same append with other events takes its ids anew if nobody has come after it.
+        if own is not None and own.number == last.number:
+            first = own.first
+        next_id = max(first + rows, last.next_id if last else 1)
+        mine = Reservation(number, first, rows, next_id, writer, batch_id)
+        if publish(spark, reservation_file(path, number), json.dumps(asdict(mine))):
             break
-        last = _reservation(spark, path, mine.number)
+        last = _reservation(spark, path, number)
     if batch_id is not None:
         replace(spark, f"{path}/{LEDGER}/writers/{writer}/{batch_id}.json", str(mine.number))
     return mine
@@ -122,5 +131,5 @@ def append_numbered(
     folder = f"append={mine.number}"
     with_ids = numbered.withColumn("id", F.col("id") + F.lit(mine.first - 1))
     to_store_row(with_ids, mode).select(*EVENT_STORE.names).write.mode("overwrite").parquet(f"{path}/{folder}")
-    commit = {"folder": folder, "first": mine.first, "rows": mine.rows}
+    commit = {"folder": folder} | asdict(mine)
     publish(spark, commit_file(path, mine.number), json.dumps(commit))
