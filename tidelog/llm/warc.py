@@ -9,8 +9,10 @@ revisit it. Payloads are told apart by SHA-1 and length; groups are pre-aggregat
 of pages costs no more than its rows.
 
 Defined cases: a null html is an empty payload; a null url gives a record without a URI; line ends in a url are
-percent-encoded; rows that repeat with the same page_id are each a response if theirs is the largest; an empty table
-gives no archive and no rows; other columns are not written.
+percent-encoded; rows that repeat with the same page_id are each a response if theirs is the largest; a null page_id is
+smaller than any, and its record is read back as null; records that other writers named are read with a null page_id, and
+of kinds other than response and revisit the whole block counts as payload; an empty table gives no archive and no rows;
+other columns are not written.
 """
 
 from __future__ import annotations
@@ -62,7 +64,7 @@ def record(page_id: int, url: str | None, payload: bytes, n_bytes: int, digest:
     uri = None if url is None else url.encode().replace(b"\r", b"%0D").replace(b"\n", b"%0A")
     header = VERSION + b"\r\n" + _fields(
         (b"WARC-Type", b"response" if refers_to is None else b"revisit"),
-        (b"WARC-Record-ID", b"<" + RECORD + b"%d>" % page_id),
+        (b"WARC-Record-ID", b"<" + RECORD + (b"%d>" % page_id if page_id is not None else b"none:%s>" % digest)),
         (b"WARC-Date", b"1970-01-01T00:00:00Z"),
         (b"WARC-Target-URI", uri),
         (b"WARC-Payload-Digest", b"sha1:" + digest),
@@ -115,7 +117,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, le
     # Stored, so that its size is known: Spark broadcasts a small list, and joins a large one with hot payloads split.
     shared = stored(shared, "warc-shared")
     told = rows.join(shared, (F.col("digest") == F.col("_d")) & (F.length("payload") == F.col("_n")), "left")
-    refers_to = F.when(F.col("first") != F.col("page_id"), F.col("first"))
+    refers_to = F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first"))
     told = told.select("page_id", "url", "payload", "digest", refers_to.alias("refers_to"))
     store, path = store_of(folder)
     store.create_dir(path, recursive=True)
@@ -148,17 +150,29 @@ def inflated(data: bytes, at: int, more) -> tuple[bytes, int] | None:
             return None
 
 
+def _named(head: bytes) -> dict[bytes, bytes]:
+    """Header fields after the first line."""
+    pairs = (line.partition(b":") for line in head.split(b"\r\n")[1:])
+    return {name: value.strip() for name, _, value in pairs}
+
+
 def parsed(whole: bytes, with_payload: bool) -> tuple:
     """The record's columns as in RECORD_SCHEMA; digest and length of a response are taken from its payload."""
     head, _, rest = whole.partition(b"\r\n\r\n")
-    fields = dict(line.split(b": ", 1) for line in head.split(b"\r\n")[1:])
+    fields = _named(head)
     block = rest[: int(fields[b"Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    page = lambda name: int(fields[name].strip(b"<>").removeprefix(RECORD)) if name in fields else None
-    kind = fields[b"WARC-Type"].decode()
+    kind = fields.get(b"WARC-Type", b"").decode()
+    http, _, payload = block.partition(b"\r\n\r\n") if kind in ("response", "revisit") else (b"", b"", block)
+
+    def page(name: bytes) -> int | None:
+        own = fields.get(name, b"").strip(b"<>")
+        number = own.removeprefix(RECORD)
+        return int(number) if own.startswith(RECORD) and number.removeprefix(b"-").isdigit() else None
+
     if kind == "revisit":
-        lines = dict(line.split(b": ", 1) for line in http.split(b"\r\n")[1:])
-        n, digest = int(lines[b"Content-Length"]), fields[b"WARC-Payload-Digest"].removeprefix(b"sha1:").decode()
+        length = _named(http).get(b"Content-Length", b"")
+        digest = fields.get(b"WARC-Payload-Digest", b"").removeprefix(b"sha1:").decode() or None
+        n = int(length) if length.isdigit() else None
     else:
         n, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
     url = fields[b"WARC-Target-URI"].decode() if b"WARC-Target-URI" in fields else None
