@@ -120,6 +120,7 @@ def _place_batch(parts: list[tuple]) -> pa.RecordBatch:
 
 def window_starts(anchors: np.ndarray, n_words: int, window: int = WINDOW) -> np.ndarray:
     """The windows that hold one of the anchors within their first PERIOD offsets."""
+    anchors = anchors[anchors < n_words]  # others belong to another row of the same doc_id
     near = np.zeros(n_words + 1, np.int32)
     np.add.at(near, np.maximum(0, anchors - (PERIOD - 1)), 1)
     np.add.at(near, anchors + 1, -1)
@@ -192,7 +193,7 @@ def candidates(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def repeated_windows(found: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc, at): the windows, by first word, that repeat one of a smaller document."""
+    """(doc, at, h1): the windows, by first word and hash, that repeat one of a smaller document."""
     windows = stored(in_python(found, _windows(window), "h1 bigint, h2 bigint, doc bigint, at int"), "windows")
     dealt = windows.repartitionByRange("h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc")
     judged = stored(in_python(dealt, _judged, _JUDGED), "windows-judged")
@@ -200,7 +201,7 @@ def repeated_windows(found: DataFrame, window: int = WINDOW) -> DataFrame:
     last = judged.filter(F.col("kind") == _LAST).select(F.col("h1").alias("l1"), F.col("h2").alias("l2"), F.col("part").alias("earlier"))
     goes_on = (F.col("h1") == F.col("l1")) & (F.col("h2") == F.col("l2")) & (F.col("earlier") < F.col("part"))
     opened = judged.filter(F.col("kind") == _OPEN).join(last, goes_on, "left_semi")
-    return judged.filter(F.col("kind") == _REPEATED).unionByName(opened).select("doc", "at")
+    return judged.filter(F.col("kind") == _REPEATED).unionByName(opened).select("doc", "at", "h1")
 
 
 def cut_words(text: bytes, starts: np.ndarray, window: int = WINDOW) -> tuple[bytes, int, int]:
@@ -224,13 +225,26 @@ def _whole(batches):
         )
 
 
+def own_starts(text: bytes, starts: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Of a doc_id's starts (place and 32 bits of the window's hash, packed) those that this text has."""
+    words = word_hashes(text)
+    at = starts >> 32
+    fits = at + window <= len(words)
+    at, starts = at[fits], starts[fits]
+    if not len(at):
+        return at
+    h1 = windows_hash(words, window, MULTIPLIERS[0])[at].astype(np.uint64) & np.uint64(0xFFFFFFFF)
+    return at[h1 == starts.astype(np.uint64) & np.uint64(0xFFFFFFFF)]
+
+
 def _cut(window: int):
     def cut(batches):
         for batch in batches:
             rows = []
             for text, starts in zip(batch.column("text").cast(pa.binary()), batch.column("starts")):
                 whole = hashlib.sha256(b" ".join(text.as_py().split())).hexdigest()
-                kept, _, removed = cut_words(text.as_py(), starts.values.to_numpy(), window)
+                own = own_starts(text.as_py(), starts.values.to_numpy(), window)
+                kept, _, removed = cut_words(text.as_py(), own, window)
                 rows.append((whole, removed, kept))
             whole, removed, kept = zip(*rows) if rows else ((), (), ())
             sha = [hashlib.sha256(k).hexdigest() for k in kept]
@@ -245,7 +259,9 @@ def _cut(window: int):
 def cut_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(cut_id, whole, cut, cut_sha, kept_text): the documents that lose words; whole is the hash of all their words."""
     found = stored(candidates(docs, window), "anchored")
-    starts = repeated_windows(found, window).groupBy("doc").agg(F.collect_list("at").alias("starts"))
+    # Rows of one doc_id may have different texts; the hash tells whose a place is.
+    packed = F.shiftleft(F.col("at").cast("bigint"), 32).bitwiseOR(F.col("h1").bitwiseAND(F.lit(0xFFFFFFFF)))
+    starts = repeated_windows(found, window).groupBy("doc").agg(F.collect_list(packed).alias("starts"))
     joined = found.select("doc_id", "text").join(starts, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "starts")
     return in_python(joined, _cut(window), "cut_id bigint, whole string, cut bigint, cut_sha string, kept_text string")
 
