@@ -311,8 +311,11 @@ def _shard_result(held: list[tuple], length: int) -> pa.RecordBatch:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = K) -> tuple[DataFrame, DataFrame]:
-    """The documents with shared anchors (doc_id, text), and (doc, first, end): ranges of starts of repeated strings."""
-    some = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
+    """The documents with shared anchors (doc_id, text), and (doc, first, end): ranges of starts of repeated strings.
+
+    Here doc_id is a number that no other text has, as `own_numbers` gives it.
+    """
+    some = docs.select("doc_id", "text").filter("text is not null")
     anchors = in_python(some, _anchors(length, k), "h bigint, doc bigint, at int")
     dealt = anchors.repartitionByRange("h", "doc").sortWithinPartitions("h", "doc")
     places = in_python(dealt, shared_groups(True), "doc bigint, at int").groupBy("doc").agg(F.collect_set("at").alias("places"))
@@ -363,12 +366,22 @@ def cut_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return in_python(joined, _cut(length), "cut_id bigint, whole string, cut bigint, spans bigint, cut_sha string, kept_bytes binary")
 
 
+def own_numbers(docs: DataFrame) -> DataFrame:
+    """docs with `_own`: the doc_id where it is a number and of one row only, else a hash of doc_id and text."""
+    often = docs.groupBy(F.col("doc_id").alias("_often")).agg(F.count("*").alias("n")).filter("n > 1 and _often is not null")
+    often = stored(often.select("_often"), "suffix-repeated")
+    number = F.when(F.col("_often").isNull(), F.col("doc_id").try_cast("bigint"))
+    own = F.coalesce(number, F.xxhash64(F.col("doc_id"), F.col("text")))
+    return docs.join(often, F.col("doc_id") == F.col("_often"), "left").withColumn("_own", own).drop("_often")
+
+
 def suffix_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the remaining bytes)."""
     data = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
-    all_ = docs.select("doc_id", F.length(data).cast("bigint").alias("n_bytes"), F.sha2(data, 256).alias("sha"))
-    cut = cut_documents(docs, length).drop("kept_bytes").distinct()
-    joined = all_.join(cut, (F.col("doc_id") == F.col("cut_id")) & (F.col("sha") == F.col("whole")), "left")
+    rows = own_numbers(docs.select("doc_id", "text"))
+    all_ = rows.select("doc_id", "_own", F.length(data).cast("bigint").alias("n_bytes"), F.sha2(data, 256).alias("sha"))
+    cut = cut_documents(rows.select(F.col("_own").alias("doc_id"), "text"), length).drop("kept_bytes").distinct()
+    joined = all_.join(cut, (F.col("_own") == F.col("cut_id")) & (F.col("sha") == F.col("whole")), "left")
     return joined.select(
         "doc_id", "n_bytes", F.coalesce("cut", F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce("spans", F.lit(0)).cast("bigint").alias("n_spans"), F.coalesce("cut_sha", "sha").alias("kept_sha256"),
