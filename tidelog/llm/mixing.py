@@ -26,6 +26,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5  # of all sizes
 MAX_EPOCHS = 2
 ROWS_PER_SLICE = 20_000
+BINS_PER_SLICE = 4
+LEAST_BINS = 256
 
 _HEX = 6  # digits of the shuffle order that slices are cut by: 16 million slices at most
 
@@ -159,18 +161,47 @@ def mix_report(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, epochs:
     )
 
 
+def _stretches(narrow: DataFrame, mix: Mix, epochs: int, bins: int) -> DataFrame:
+    """Per source and slice its stretches of taken copies: (epoch, bin of finish times, first, last, words played before)."""
+    sliced = narrow.withColumn("slice", _slice(F.col("place"), mix.slices))
+    played = _finished(sliced.filter("size > 0"), mix.sources, mix.starts)
+    times = F.filter(
+        F.array(*[F.when(_taken(mix, e), F.struct(F.lit(e).alias("epoch"), _finish(e).alias("finish"))) for e in range(epochs)]),
+        lambda t: t.isNotNull(),
+    )
+    copies = played.withColumn("copy", F.explode(times)).withColumn("bin", F.floor(F.col("copy.finish") * bins))
+    at = F.struct("place", "size")
+    found = copies.groupBy("source", "slice", "source_no", "source_size", "target", F.col("copy.epoch").alias("epoch"), "bin").agg(
+        F.min(at).alias("first"), F.max(at).alias("last"), (F.max("played") - F.sum("size")).alias("start")
+    )
+    stretch = F.struct("epoch", "bin", "first", "last", "start")
+    found = found.groupBy("source", "slice", "source_no", "source_size", "target").agg(F.collect_list(stretch).alias("stretches"))
+    return stored(found, "mix-stretches")
+
+
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, epochs: int = MAX_EPOCHS) -> DataFrame:
-    """The mix itself: the rows of docs, each as often as it is taken, range-sorted by virtual finish time."""
+    """The mix itself: the rows of docs, each as often as it is taken, range-sorted by virtual finish time.
+
+    Finish times are cut into bins. Where a source's shuffle order passes from bin to bin is known from the narrow table, so
+    each row finds the bins of its copies where it is, and its text is shuffled once, to its bin, in which the exact times follow.
+    """
     rows = as_rows(docs)
-    mix = plan_mix(stored(_narrow(rows), "mix-sizes"), weights, budget, epochs)
+    narrow = stored(_narrow(rows), "mix-sizes")
+    mix = plan_mix(narrow, weights, budget, epochs)
+    stretches = _stretches(narrow, mix, epochs, max(LEAST_BINS, BINS_PER_SLICE * mix.slices))
     full = rows.select(
         "doc", F.col("doc.source").alias("source"), word_count(F.col("doc.text")).alias("size"),
         _place(F.col("doc.doc_id")).alias("place"),
-    )
-    finishes = F.filter(
-        F.array(*[F.when(_taken(mix, e), _finish(e)) for e in range(epochs)]), lambda f: f.isNotNull()
-    )
-    sliced = full.withColumn("slice", _slice(F.col("place"), mix.slices))
-    played = _finished(sliced, mix.sources, mix.starts).select("doc", "source_no", "place", F.explode(finishes).alias("finish"))
-    ordered = played.repartitionByRange("finish", "source_no", "place").sortWithinPartitions("finish", "source_no", "place")
-    return ordered.select("doc.*")
+    ).filter("size > 0")
+    full = full.withColumn("slice", _slice(F.col("place"), mix.slices))
+    # Some rows per slice; Spark broadcasts them below its threshold and shuffles both sides beyond.
+    known = stretches.withColumnsRenamed({"source": "_s", "slice": "_k"})
+    full = full.join(known, F.col("source").eqNullSafe(F.col("_s")) & (F.col("slice") == F.col("_k")))
+    at = F.struct("place", "size")
+    own = F.filter("stretches", lambda s: (s["first"] <= at) & (at <= s["last"]))
+    copies = full.select("doc", "source_no", "source_size", "target", "place", "size", "slice", F.explode(own).alias("own"))
+    copies = copies.select("*", "own.bin", "own.epoch", "own.start").drop("own").repartitionByRange("bin")
+    order = Window.partitionBy("bin", "source_no", "slice", "epoch").orderBy("place", "size")
+    played = F.col("start") + F.sum("size").over(order)
+    timed = copies.withColumn("finish", (played + F.col("epoch") * F.col("source_size")) / F.col("target"))
+    return timed.sortWithinPartitions("finish", "source_no", "place").select("doc.*")
