@@ -5,8 +5,8 @@ least values of ROWS random functions over its shingles; texts of similarity 0.8
 one are verified by their exact shingle sets, and verified pairs are linked.
 
 Equal texts are one class before all this. A key with more than MAX_BUCKET classes isn't paired: its members are verified
-against its smallest class. If some of them are linked to that in no way, the members of crowded keys meet again under
-SPREAD * BANDS keys of twice as many values, where only classes of different components are paired, in a key that is
+against its smallest class. If its members are not one component after that, they meet again under that key taken together
+with each of up to 2 * SPREAD other keys of theirs, where only classes of different components are paired, in a key that is
 still crowded with the smallest class of the largest component and PIVOTS others; so pairs in keys that are crowded both
 times can be missed.
 
@@ -70,9 +70,12 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return _hashed(np.concatenate([bands, least.reshape(BANDS, ROWS)], axis=1))
 
 
-def wide_keys(bands: np.ndarray) -> np.ndarray:
-    """Keys of two bands each."""
-    found = [np.stack([bands, np.roll(bands, -k), np.full(BANDS, k)], axis=1) for k in range(1, SPREAD + 1)]
+def wide_keys(bands: np.ndarray, again: np.ndarray) -> np.ndarray:
+    """Keys of two bands each, one of them at least among those that are to be refined."""
+    asked, found = np.isin(bands, again), []
+    for k in range(1, SPREAD + 1):
+        pairs = np.stack([bands, np.roll(bands, -k), np.full(BANDS, k)], axis=1)
+        found.append(pairs[asked | np.roll(asked, -k)])
     return _hashed(np.concatenate(found).view(np.uint64))
 
 
@@ -94,7 +97,8 @@ def _sketches(batches):
 
 def _wide(batches):
     for batch in batches:
-        keys = [wide_keys(b.values.to_numpy()) for b in batch.column("bands")]
+        both = zip(batch.column("bands"), batch.column("again"))
+        keys = [wide_keys(b.values.to_numpy(), a.values.to_numpy()) for b, a in both]
         yield pa.RecordBatch.from_arrays([batch.column("class"), batch.column("root"), pa.array(keys, pa.list_(pa.int64()))], ["class", "root", "keys"])
 
 
@@ -149,7 +153,7 @@ def _pairs(keyed: DataFrame, label: str, alone: bool) -> tuple[DataFrame, DataFr
     shared = stored(keyed.join(sizes, "key"), label)
     buckets = shared.filter(F.col("n") <= MAX_BUCKET).groupBy("key").agg(F.collect_list(F.struct("class", "root")).alias("rows"))
     cold = in_python(buckets.select(F.col("rows.class").alias("members"), F.col("rows.root").alias("roots")), _paired, "a bigint, b bigint")
-    crowded = shared.filter(F.col("n") > MAX_BUCKET).select("class", "root", "first")
+    crowded = shared.filter(F.col("n") > MAX_BUCKET).select("key", "class", "root", "first")
     stars = crowded.filter("class <> first").select(F.col("class").alias("a"), F.col("first").alias("b"))
     if not alone:
         more = shared.filter(F.col("n") > MAX_BUCKET).join(others, "key").select("class", "root", F.explode("others").alias("other"))
@@ -158,14 +162,17 @@ def _pairs(keyed: DataFrame, label: str, alone: bool) -> tuple[DataFrame, DataFr
     return cold.unionByName(stars).distinct(), crowded
 
 
-def _links(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
-    """The candidates that are similar; texts is (class, text) with equal rows for equal texts."""
-    pairs = stored(pairs, f"{label}-pairs")
+def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(class, text) of the classes in pairs; texts has equal rows for equal texts."""
     needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
     one = texts.groupBy("class").agg(F.first("text").alias("text"))  # copies are one row per task before the shuffle
-    own = stored(one.join(needed, "class", "left_semi"), f"{label}-texts")
+    return stored(one.join(needed, "class", "left_semi"), "near-texts")
+
+
+def _links(pairs: DataFrame, own: DataFrame, label: str) -> DataFrame:
+    """The candidates that are similar; own is (class, text)."""
     a, b = (own.select(F.col("class").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-    return stored(in_python(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b"), _verified, "a bigint, b bigint"), f"{label}-links")
+    return stored(in_python(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b"), _verified, "a bigint, b bigint"), label)
 
 
 def text_class(text: Column) -> Column:
@@ -183,19 +190,21 @@ def near_classes(docs: DataFrame) -> DataFrame:
     sketches = stored(sketches.dropDuplicates(["class"]), "near-sketches")
     keyed = sketches.select(F.explode("bands").alias("key"), "class", F.col("class").alias("root"))
     pairs, crowded = _pairs(keyed, "near-keys", True)
-    links = _links(pairs, texts, "near")
+    pairs = stored(pairs, "near-pairs")
+    own = _texts_of(pairs, texts)
+    links = _links(pairs, own, "near-links")
     roots = stored(connected_components(links), "near-roots")
-    # Where a crowded key's members aren't one component yet.
-    firsts = roots.select(F.col("node").alias("first"), F.col("root").alias("first_root"))
-    apart = _rooted(crowded.select("class", "first").distinct(), roots).join(firsts, "first", "left")
-    open_ = stored(apart.filter(F.col("root") != F.coalesce("first_root", "first")).select("first").distinct(), "near-open")
-    if open_.isEmpty():
+    # The crowded keys whose members aren't one component yet. All these members are in pairs, so their texts are in own.
+    members = _rooted(crowded.select("key", "class"), roots)
+    apart = members.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
+    again = members.join(apart, "key", "left_semi").groupBy("class", "root").agg(F.collect_list("key").alias("again"))  # BANDS keys at most
+    again = stored(again.join(sketches, "class"), "near-again")
+    if again.isEmpty():
         return roots
-    again = crowded.join(open_, "first", "left_semi").select("class").distinct()
-    again = _rooted(sketches.join(again, "class", "left_semi"), roots)
-    wide = in_python(again.select("class", "root", "bands"), _wide, "class bigint, root bigint, keys array<bigint>")
-    pairs, _ = _pairs(wide.select(F.explode("keys").alias("key"), "class", "root"), "near-wide-keys", False)
-    return connected_components(links.unionByName(_links(pairs, texts, "near-wide")))
+    wide = in_python(again.select("class", "root", "bands", "again"), _wide, "class bigint, root bigint, keys array<bigint>")
+    wide = stored(wide.select(F.explode("keys").alias("key"), "class", "root"), "near-wide")
+    pairs, _ = _pairs(wide, "near-wide-keys", False)
+    return connected_components(links.unionByName(_links(stored(pairs, "near-wide-pairs"), own, "near-wide-links")))
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
