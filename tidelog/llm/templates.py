@@ -7,12 +7,14 @@ than MIN_HALVED tokens keep all of theirs.
 
 A template recurs if it is in documents of MIN_DOCUMENTS classes or more, where a document and all its near copies (see
 `near`) are one class: lines that documents share because they are copies of each other stay, and what stands around a
-line doesn't matter. Lines of recurring templates are dropped.
+line doesn't matter. Lines of recurring templates are dropped. Classes are those of the documents that hold any frequent
+template (one in MIN_DOCUMENTS documents or more, not all of one text): a document without one links no others.
 
-Documents are counted per template first, pre-aggregated before the shuffle, so a line in a third of all documents costs a
-row per task. Only templates with enough documents, not all of one text, are then counted by class, dealt by template and class.
-Both sets of templates are measured: below BROADCAST_TEMPLATES their hashes go to every task and documents aren't shuffled
-for them; beyond that documents are joined with them. Both ways give the same rows.
+Lines are parsed twice, to find templates and to cut. The first pass is stored as template and class of text; documents are
+counted per template, pre-aggregated before the shuffle, so a line in a third of all documents costs a row per task. Only
+frequent templates are then counted by class, dealt by template and class. The recurring ones are measured: below
+BROADCAST_TEMPLATES their hashes go to every task and documents aren't shuffled for them; beyond that documents are joined
+with them. Both ways give the same rows.
 
 Defined cases: a null text has no lines; lines without a word are no lines of their own but stay where they are; a very long
 text is worked through line by line; a line that repeats in one document counts once; rows that repeat are documents of
@@ -68,25 +70,18 @@ def _lines(text: bytes) -> list[tuple[int, ...]]:
     return [t for t in map(line_templates, text.split(b"\n")) if t]
 
 
-def _seen(known):
-    """Per document and template that it has (of the known ones, if any are given): the template and the class of the text."""
-
-    def seen(batches):
-        among = None if known is None else set(known.value.tolist())
-        found, classes = [], []
-        for batch in batches:
-            for text, class_ in zip(batch.column("text").cast(pa.binary()), batch.column("class").to_pylist()):
-                own = {t for templates in _lines(text.as_py() or b"") for t in templates}
-                if among is not None:
-                    own &= among
-                found.extend(own)
-                classes.extend([class_] * len(own))
-                if len(found) > _BATCH:
-                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(classes, pa.int64())], ["template", "class"])
-                    found, classes = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(classes, pa.int64())], ["template", "class"])
-
-    return seen
+def _seen(batches):
+    """Per document and template that it has: the template and the class of the text."""
+    found, classes = [], []
+    for batch in batches:
+        for text, class_ in zip(batch.column("text").cast(pa.binary()), batch.column("class").to_pylist()):
+            own = {t for templates in _lines(text.as_py() or b"") for t in templates}
+            found.extend(own)
+            classes.extend([class_] * len(own))
+            if len(found) > _BATCH:
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(classes, pa.int64())], ["template", "class"])
+                found, classes = [], []
+    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(classes, pa.int64())], ["template", "class"])
 
 
 def _known(templates: DataFrame, limit: int):
@@ -96,16 +91,16 @@ def _known(templates: DataFrame, limit: int):
     return templates.sparkSession.sparkContext.broadcast(np.array([r[0] for r in templates.toLocalIterator()], np.int64))  # limit numbers at most
 
 
-def recurring_templates(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, limit: int = BROADCAST_TEMPLATES) -> DataFrame:
+def recurring_templates(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """(template): hashes of the templates whose lines are dropped."""
-    texts, schema = docs.select("text", text_class(F.col("text")).alias("class")), "template bigint, class bigint"
-    counts = in_python(texts, _seen(None), schema).groupBy("template").agg(F.count("*").alias("n"), F.min("class").alias("a"), F.max("class").alias("b"))
-    frequent = stored(counts.filter((F.col("n") >= min_documents) & ((F.col("a") != F.col("b")) | F.lit(min_documents <= 1))).select("template"), "line-frequent")
-    known = _known(frequent, limit)
-    seen = in_python(texts, _seen(known), schema)
-    if known is None:
-        seen = seen.join(frequent, "template", "left_semi")
-    pairs = seen.distinct().join(near_classes(docs), F.col("class") == F.col("node"), "left")
+    texts = docs.select("text", text_class(F.col("text")).alias("class"))
+    seen = stored(in_python(texts, _seen, "template bigint, class bigint"), "line-seen")
+    counts = seen.groupBy("template").agg(F.count("*").alias("n"), F.min("class").alias("a"), F.max("class").alias("b"))
+    frequent = counts.filter((F.col("n") >= min_documents) & ((F.col("a") != F.col("b")) | F.lit(min_documents <= 1)))
+    frequent = stored(frequent.select("template"), "line-frequent")
+    pairs = stored(seen.join(frequent, "template", "left_semi").distinct(), "line-pairs")
+    held = stored(texts.join(pairs.select("class").distinct(), "class", "left_semi"), "line-held")
+    pairs = pairs.join(near_classes(held), F.col("class") == F.col("node"), "left")
     pairs = pairs.select("template", F.coalesce("root", "class").alias("class")).distinct()
     return pairs.groupBy("template").count().filter(F.col("count") >= min_documents).select("template")
 
@@ -165,7 +160,7 @@ def _held(batches):
 
 
 def _cut_rows(docs: DataFrame, with_rows: bool, min_documents: int, limit: int) -> DataFrame:
-    recurring = stored(recurring_templates(docs, min_documents, limit), "line-templates")
+    recurring = stored(recurring_templates(docs, min_documents), "line-templates")
     rows = as_rows(docs if with_rows else docs.select("doc_id", "text"))
     text = F.col("doc.text").alias("text")
     kept = "kept_text" if with_rows else "kept_sha256"
