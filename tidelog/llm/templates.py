@@ -10,9 +10,9 @@ A template recurs if it is in documents of MIN_DOCUMENTS classes or more, where
 line doesn't matter. Lines of recurring templates are dropped. Classes are those of the documents that hold any frequent
 template (one in MIN_DOCUMENTS documents or more, not all of one text): a document without one links no others.
 
-Lines are parsed twice, to find templates and to cut. The first pass is stored as template and class of text; documents are
+The first pass over lines is stored as template and class of text; documents are
 counted per template, pre-aggregated before the shuffle, so a line in a third of all documents costs a row per task. Only
-frequent templates are then counted by class, dealt by template and class. The recurring ones are measured: below
+frequent templates are then counted by class, dealt by template and class. Both they and the recurring ones are measured: below
 BROADCAST_TEMPLATES their hashes go to every task and documents aren't shuffled for them; beyond that documents are joined
 with them. Both ways give the same rows.
 
@@ -91,7 +91,19 @@ def _known(templates: DataFrame, limit: int):
     return templates.sparkSession.sparkContext.broadcast(np.array([r[0] for r in templates.toLocalIterator()], np.int64))  # limit numbers at most
 
 
-def recurring_templates(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+def _holding(known):
+    """The texts that hold a known template."""
+
+    def holding(batches):
+        among = set(known.value.tolist())
+        for batch in batches:
+            texts = (t.as_py() or b"" for t in batch.column("text").cast(pa.binary()))
+            yield batch.filter(pa.array([any(not among.isdisjoint(line_templates(x)) for x in t.split(b"\n")) for t in texts], pa.bool_()))
+
+    return holding
+
+
+def recurring_templates(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, limit: int = BROADCAST_TEMPLATES) -> DataFrame:
     """(template): hashes of the templates whose lines are dropped."""
     texts = docs.select("text", text_class(F.col("text")).alias("class"))
     seen = stored(in_python(texts, _seen, "template bigint, class bigint"), "line-seen")
@@ -99,7 +111,12 @@ def recurring_templates(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) ->
     frequent = counts.filter((F.col("n") >= min_documents) & ((F.col("a") != F.col("b")) | F.lit(min_documents <= 1)))
     frequent = stored(frequent.select("template"), "line-frequent")
     pairs = stored(seen.join(frequent, "template", "left_semi").distinct(), "line-pairs")
-    held = stored(texts.join(pairs.select("class").distinct(), "class", "left_semi"), "line-held")
+    known = _known(frequent, limit)
+    if known is not None:
+        held = in_python(texts, _holding(known), "text string, class bigint")
+    else:
+        held = texts.join(pairs.select("class").distinct(), "class", "left_semi")
+    held = stored(held, "line-held")
     pairs = pairs.join(near_classes(held), F.col("class") == F.col("node"), "left")
     pairs = pairs.select("template", F.coalesce("root", "class").alias("class")).distinct()
     return pairs.groupBy("template").count().filter(F.col("count") >= min_documents).select("template")
@@ -160,7 +177,7 @@ def _held(batches):
 
 
 def _cut_rows(docs: DataFrame, with_rows: bool, min_documents: int, limit: int) -> DataFrame:
-    recurring = stored(recurring_templates(docs, min_documents), "line-templates")
+    recurring = stored(recurring_templates(docs, min_documents, limit), "line-templates")
     rows = as_rows(docs if with_rows else docs.select("doc_id", "text"))
     text = F.col("doc.text").alias("text")
     kept = "kept_text" if with_rows else "kept_sha256"
