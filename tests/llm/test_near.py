@@ -65,3 +65,62 @@ def test_recall_of_keys():
         b = np.append(b, own[n : n + n // 9 + 1])
         met += bool(set(near.band_keys(near.least_values(a))) & set(near.band_keys(near.least_values(b))))
     assert met >= 298
+
+
+def _words(rng, n):
+    return [f"w{rng.getrandbits(40)}" for _ in range(n)]
+
+
+def _linked(spark, texts) -> set:
+    """The components of near_classes as sets of texts' numbers, those of one text left out."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "n int, text string").repartition(4)
+    roots = near.near_classes(docs).withColumnRenamed("root", "r")
+    found = {}
+    for row in docs.withColumn("node", near.text_class(docs.text)).join(roots, "node").collect():
+        found.setdefault(row.r, set()).add(row.n)
+    return {frozenset(x) for x in found.values() if len(x) > 1}
+
+
+def test_pairs_within_a_common_part(spark, monkeypatch):
+    """Pairs of 0.83 whose texts all share 0.74: every key of theirs may be crowded, none of the pairs is lost."""
+    monkeypatch.setattr(near, "MAX_BUCKET", 4)
+    rng = random.Random(8)
+    common, texts = _words(rng, 400), []
+    for _ in range(60):
+        own = _words(rng, 40)
+        texts += [" ".join(common + own + _words(rng, 41)) for _ in range(2)]
+    sets = [_set(t) for t in texts]
+    similarity = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    apart = len(sets[0] & sets[2]) / len(sets[0] | sets[2])
+    assert min(similarity) >= 0.8 > apart > 0.7
+    assert _linked(spark, texts) == {frozenset((2 * i, 2 * i + 1)) for i in range(60)}
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_dense_groups(spark, monkeypatch, rounds):
+    """Copies of one text around 0.8 of each other: rare shingles are crowded too, and links decide by single shingles."""
+    monkeypatch.setattr(near, "MAX_BUCKET", 3)
+    monkeypatch.setattr(near, "PIVOT_ROUNDS", rounds)
+    rng = random.Random(9)
+    texts = []
+    for group in range(3):
+        parts = [_words(rng, 12) for _ in range(40)]
+        for _ in range(40):
+            texts.append(" ".join(w for part in parts if rng.random() > 0.13 + 0.02 * group for w in part))
+    rows = list(enumerate(texts))
+    kept = near_duplicates(spark, spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), "")
+    assert sorted((False, r.doc_id) for r in kept.collect()) == _survivors(rows)
+
+
+def test_prefixes_share_a_shingle():
+    """Whatever the order's places hold, sets of 0.8 share one of their rare shingles."""
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n = int(rng.integers(1, 120))
+        own = np.unique(rng.integers(1, 1 << 63, 2 * n, dtype=np.uint64))[:n]
+        a, b = np.sort(rng.permutation(own)[: max(1, n - n // 10)]), own
+        if not near.similar(a, b):
+            continue
+        order = np.zeros(near.ORDER_PLACES, np.int32)
+        order[near.places(own)] = rng.integers(2, 5, n)
+        assert set(near.rare_shingles(a, order)) & set(near.rare_shingles(b, order))

@@ -5,10 +5,13 @@ least values of ROWS random functions over its shingles; texts of similarity 0.8
 one are verified by their exact shingle sets, and verified pairs are linked.
 
 Equal texts are one class before all this. A key with more than MAX_BUCKET classes isn't paired: its members are verified
-against its smallest class. If its members are not one component after that, they meet again under that key taken together
-with each of up to 2 * SPREAD other keys of theirs, where only classes of different components are paired, in a key that is
-still crowded with the smallest class of the largest component and PIVOTS others; so pairs in keys that are crowded both
-times can be missed.
+against its smallest class, then in PIVOT_ROUNDS rounds those outside the key's largest component against one more of that
+component. Members of keys that still aren't one component meet again, whatever their keys, by their rarest shingles: under
+one order of all shingles, sets of similarity 0.8 share one of the first fifth of each (prefix filter), which is exact. The
+order is by how often shingles occur among these members, counted in ORDER_PLACES places by hash; two shingles in one place
+are ordered less well, never wrongly. A rare shingle in up to MAX_BUCKET members has them paired; of one in more, all
+members outside its largest component are verified against all its members of other components whose number of shingles
+permits it. So no pair of a crowded key is left out; what is lost is only what shares no key at all.
 
 Defined cases: letter case (ASCII) and the kind of white space make no difference; texts of fewer than five words are one
 shingle; null and blank texts are equal; per component the row with the smallest doc_id stays (a null one counts as larger
@@ -17,6 +20,8 @@ than any), of several that with the smallest hash; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,9 +35,9 @@ SHINGLE = 5
 MIN_SIMILARITY = 0.8
 BANDS = 24
 ROWS = 6
-SPREAD = 4
 MAX_BUCKET = 64
-PIVOTS = 8
+PIVOT_ROUNDS = 2
+ORDER_PLACES = 1 << 20
 _AT_ONCE = 1 << 9  # shingles that are hashed together
 _PAIRS = 1 << 16
 
@@ -70,13 +75,18 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return _hashed(np.concatenate([bands, least.reshape(BANDS, ROWS)], axis=1))
 
 
-def wide_keys(bands: np.ndarray, again: np.ndarray) -> np.ndarray:
-    """Keys of two bands each, one of them at least among those that are to be refined."""
-    asked, found = np.isin(bands, again), []
-    for k in range(1, SPREAD + 1):
-        pairs = np.stack([bands, np.roll(bands, -k), np.full(BANDS, k)], axis=1)
-        found.append(pairs[asked | np.roll(asked, -k)])
-    return _hashed(np.concatenate(found).view(np.uint64))
+def places(own: np.ndarray) -> np.ndarray:
+    return ((own * MULTIPLIERS[1]) >> np.uint64(32)).astype(np.int64) % ORDER_PLACES
+
+
+def rare_shingles(own: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The first of the set's shingles by their count in order; without those that no other set has.
+
+    Two sets that reach MIN_SIMILARITY share one: each lacks at most a fifth of the larger one's shingles.
+    """
+    counts = order[places(own)]
+    first = np.lexsort((own, counts))[: len(own) - math.ceil(MIN_SIMILARITY * len(own) - 1e-6) + 1]
+    return own[first[counts[first] > 1]]
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -91,25 +101,43 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 def _sketches(batches):
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
-        keys = [band_keys(least_values(shingles(t.as_py() or b""))) for t in texts]
-        yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(keys, pa.list_(pa.int64()))], ["class", "bands"])
+        sets = [shingles(t.as_py() or b"") for t in texts]
+        keys = pa.array([band_keys(least_values(own)) for own in sets], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(map(len, sets), pa.int32()), keys], ["class", "size", "bands"])
 
 
-def _wide(batches):
+def _place_counts(batches):
+    """Per task how many shingles of its texts fall to each place."""
+    counts = np.zeros(ORDER_PLACES, np.int64)
     for batch in batches:
-        both = zip(batch.column("bands"), batch.column("again"))
-        keys = [wide_keys(b.values.to_numpy(), a.values.to_numpy()) for b, a in both]
-        yield pa.RecordBatch.from_arrays([batch.column("class"), batch.column("root"), pa.array(keys, pa.list_(pa.int64()))], ["class", "root", "keys"])
+        for text in batch.column("text").cast(pa.binary()):
+            np.add.at(counts, places(shingles(text.as_py())), 1)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["place", "n"])
+
+
+def _rare(order):
+    def rare(batches):
+        for batch in batches:
+            sets = [shingles(t.as_py()) for t in batch.column("text").cast(pa.binary())]
+            keys = [pa.array(rare_shingles(own, order.value).view(np.int64)) for own in sets]
+            for at, (key, own) in enumerate(zip(keys, sets)):
+                repeated = pa.array(np.full(len(key), at))
+                columns = [batch.column(x).take(repeated) for x in ("class", "root")]
+                size = pa.array(np.full(len(key), len(own), np.int32))
+                yield pa.RecordBatch.from_arrays([key, *columns, size], ["key", "class", "root", "size"])
+
+    return rare
 
 
 def _paired(batches):
-    """The pairs of each bucket (at most MAX_BUCKET classes) that aren't of one component."""
+    """The pairs of each bucket (at most MAX_BUCKET classes) that aren't of one component and may be similar by their sizes."""
     for batch in batches:
         found, size = [], 0
-        for members, roots in zip(batch.column("members"), batch.column("roots")):
-            p, root = members.values.to_numpy(), roots.values.to_numpy()
+        for members, roots, sizes in zip(batch.column("members"), batch.column("roots"), batch.column("sizes")):
+            p, root, n = (x.values.to_numpy() for x in (members, roots, sizes))
             i, j = np.triu_indices(len(p), 1)
-            apart = root[i] != root[j]
+            apart = (root[i] != root[j]) & (np.minimum(n[i], n[j]) >= MIN_SIMILARITY * np.maximum(n[i], n[j]))
             i, j = i[apart], j[apart]
             found.append((np.maximum(p[i], p[j]), np.minimum(p[i], p[j])))
             size += len(i)
@@ -135,31 +163,32 @@ def _verified(batches):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _pairs(keyed: DataFrame, label: str, alone: bool) -> tuple[DataFrame, DataFrame]:
-    """Of (key, class, root): candidates (a, b) of different roots, and the crowded keys' rows with what they are verified against.
+def _shared(keyed: DataFrame, label: str) -> DataFrame:
+    """(key, class, root, size, n, first) of the keys that hold more than one root: n rows, first is the smallest class."""
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("class").alias("first"), F.min("root").alias("least"), F.max("root").alias("most"))
+    return stored(keyed.join(sizes.filter("least <> most").select("key", "n", "first"), "key"), label)
+
+
+def _bucket_pairs(shared: DataFrame) -> DataFrame:
+    """Candidates (a, b) of the keys that aren't crowded."""
+    buckets = shared.filter(F.col("n") <= MAX_BUCKET).groupBy("key").agg(F.collect_list(F.struct("class", "root", "size")).alias("rows"))
+    lists = [F.col(f"rows.{x}").alias(y) for x, y in (("class", "members"), ("root", "roots"), ("size", "sizes"))]
+    return in_python(buckets.select(*lists), _paired, "a bigint, b bigint")
+
+
+def _ordered(a: Column, b: Column) -> list[Column]:
+    return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
 
-    That is the smallest class if alone (each class is its own root), else the smallest class of the component with most
-    rows and PIVOTS others.
-    """
-    if alone:
-        sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.count("*").alias("roots"), F.min("class").alias("first"))
-    else:
-        picked = [F.min_by(F.struct("class", "root"), F.xxhash64("class", "key", F.lit(k))) for k in range(PIVOTS)]
-        others = keyed.groupBy("key").agg(F.array(*picked).alias("others"))
-        per_root = keyed.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("class").alias("first"))
-        most = F.max_by("first", F.struct("n", "first")).alias("first")
-        sizes = per_root.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("roots"), most)
-    sizes = sizes.filter("roots > 1").select("key", "n", "first")
-    shared = stored(keyed.join(sizes, "key"), label)
-    buckets = shared.filter(F.col("n") <= MAX_BUCKET).groupBy("key").agg(F.collect_list(F.struct("class", "root")).alias("rows"))
-    cold = in_python(buckets.select(F.col("rows.class").alias("members"), F.col("rows.root").alias("roots")), _paired, "a bigint, b bigint")
-    crowded = shared.filter(F.col("n") > MAX_BUCKET).select("key", "class", "root", "first")
-    stars = crowded.filter("class <> first").select(F.col("class").alias("a"), F.col("first").alias("b"))
-    if not alone:
-        more = shared.filter(F.col("n") > MAX_BUCKET).join(others, "key").select("class", "root", F.explode("others").alias("other"))
-        more = more.filter(F.col("root") != F.col("other.root"))
-        stars = stars.unionByName(more.select(F.greatest("class", "other.class").alias("a"), F.least("class", "other.class").alias("b")))
-    return cold.unionByName(stars).distinct(), crowded
+
+def _outside(crowded: DataFrame, roots: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of keys that aren't one component yet, and of those the ones outside the key's largest, with a pivot in that."""
+    members = _rooted(crowded, roots)
+    order = F.xxhash64("class", F.lit(step))  # one pivot for all keys that hold it
+    per_root = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.min_by("class", order).alias("pivot"))
+    best = F.max(F.struct("n", "root", "pivot")).alias("best")
+    largest = per_root.groupBy("key").agg(best, F.count("*").alias("roots")).filter("roots > 1").select("key", "best.root", "best.pivot")
+    rows = stored(members.join(largest.withColumnRenamed("root", "most"), "key"), "near-open")
+    return rows, rows.filter("root <> most")
 
 
 def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -183,28 +212,59 @@ def _rooted(classes: DataFrame, roots: DataFrame) -> DataFrame:
     return classes.join(roots, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class")).drop("node")
 
 
+def _rare_links(rows: DataFrame, own: DataFrame) -> DataFrame:
+    """The links of different components among the classes of rows (class, root), by shared rare shingles."""
+    texts = stored(own.join(rows.select("class", "root").distinct(), "class"), "near-open-texts")
+    counts = in_python(texts.select("text"), _place_counts, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    order = np.zeros(ORDER_PLACES, np.int32)  # ORDER_PLACES numbers, at every size
+    order[counts["place"].to_numpy()] = np.minimum(counts["n"].to_numpy(), np.iinfo(np.int32).max)
+    order = rows.sparkSession.sparkContext.broadcast(order)
+    shared = _shared(in_python(texts, _rare(order), "key bigint, class bigint, root bigint, size int"), "near-rare")
+    links = _links(stored(_bucket_pairs(shared).distinct(), "near-rare-pairs"), own, "near-rare-links")
+    crowded = shared.filter(F.col("n") > MAX_BUCKET).select("key", "class", "size", F.col("root").alias("before"))
+    if crowded.isEmpty():
+        return links
+    # Components of the first pass are nodes here: those that were linked since are one.
+    merged = links.join(texts.select(F.col("class").alias("a"), F.col("root").alias("root_a")), "a")
+    merged = merged.join(texts.select(F.col("class").alias("b"), F.col("root").alias("root_b")), "b")
+    merged = stored(connected_components(merged.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))), "near-rare-roots")
+    rooted = crowded.join(merged, F.col("before") == F.col("node"), "left").withColumn("root", F.coalesce("root", "before"))
+    largest = rooted.groupBy("key", "root").count().groupBy("key").agg(F.max(F.struct("count", "root")).alias("best"), F.count("*").alias("roots"))
+    rooted = rooted.select("key", "class", "size", "root")
+    outside = rooted.join(largest.filter("roots > 1").select("key", F.col("best.root").alias("most")), "key").filter("root <> most")
+    others = rooted.select("key", *[F.col(x).alias(f"other_{x}") for x in ("class", "size", "root")])
+    fits = F.least("size", "other_size") >= MIN_SIMILARITY * F.greatest("size", "other_size")
+    pairs = outside.join(others, "key").filter((F.col("root") != F.col("other_root")) & fits)
+    pairs = stored(pairs.select(*_ordered(F.col("class"), F.col("other_class"))).distinct(), "near-rest-pairs")
+    return links.unionByName(_links(pairs, own, "near-rest-links"))
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """(node, root): the classes of texts that are linked, and their component's smallest."""
     texts = docs.select(text_class(F.col("text")).alias("class"), F.coalesce("text", F.lit("")).alias("text"))
-    sketches = in_python(texts, _sketches, "class bigint, bands array<bigint>")
+    sketches = in_python(texts, _sketches, "class bigint, size int, bands array<bigint>")
     sketches = stored(sketches.dropDuplicates(["class"]), "near-sketches")
-    keyed = sketches.select(F.explode("bands").alias("key"), "class", F.col("class").alias("root"))
-    pairs, crowded = _pairs(keyed, "near-keys", True)
-    pairs = stored(pairs, "near-pairs")
+    shared = _shared(sketches.select(F.explode("bands").alias("key"), "class", F.col("class").alias("root"), "size"), "near-keys")
+    crowded = shared.filter(F.col("n") > MAX_BUCKET)
+    stars = crowded.filter("class <> first").select(F.col("class").alias("a"), F.col("first").alias("b"))
+    pairs = stored(_bucket_pairs(shared).unionByName(stars).distinct(), "near-pairs")
     own = _texts_of(pairs, texts)
     links = _links(pairs, own, "near-links")
     roots = stored(connected_components(links), "near-roots")
-    # The crowded keys whose members aren't one component yet. All these members are in pairs, so their texts are in own.
-    members = _rooted(crowded.select("key", "class"), roots)
-    apart = members.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
-    again = members.join(apart, "key", "left_semi").groupBy("class", "root").agg(F.collect_list("key").alias("again"))  # BANDS keys at most
-    again = stored(again.join(sketches, "class"), "near-again")
-    if again.isEmpty():
+    # All members of crowded keys are in pairs, so their texts are in own.
+    crowded = crowded.select("key", "class")
+    for step in range(PIVOT_ROUNDS):
+        rows, outside = _outside(crowded, roots, step)
+        if rows.isEmpty():
+            return roots
+        pairs = stored(outside.select(*_ordered(F.col("class"), F.col("pivot"))).distinct(), "near-pivots")
+        links = links.unionByName(_links(pairs, own, "near-pivot-links"))
+        roots = stored(connected_components(links), "near-roots")
+        crowded = rows.select("key", "class")
+    rows, _ = _outside(crowded, roots, PIVOT_ROUNDS)
+    if rows.isEmpty():
         return roots
-    wide = in_python(again.select("class", "root", "bands", "again"), _wide, "class bigint, root bigint, keys array<bigint>")
-    wide = stored(wide.select(F.explode("keys").alias("key"), "class", "root"), "near-wide")
-    pairs, _ = _pairs(wide, "near-wide-keys", False)
-    return connected_components(links.unionByName(_links(stored(pairs, "near-wide-pairs"), own, "near-wide-links")))
+    return connected_components(links.unionByName(_rare_links(rows, own)))
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
