@@ -4,9 +4,9 @@ A text's UTF-8 bytes are cut into overlapping chunks that cover all of it. Bytes
 slide over each chunk, and each filter's largest response is the chunk's feature; the features' mean over all chunks goes
 through a small hidden layer to one probability. Scoring is one pass over the documents without a shuffle.
 
-The network is fitted on the driver to a bounded sample: MAX_DOCUMENTS labelled documents, chosen by hash of their id, and
-MAX_CHUNKS chunks of each, spread over the text. Only rows whose crc32(doc_id) mod FOLDS isn't 0 are in it. The text is
-the only input of a score.
+The network is fitted on the driver to a bounded sample: MAX_DOCUMENTS labelled rows, chosen by hash of their id, with all
+chunks of their whole texts. Only rows whose crc32(doc_id) mod FOLDS isn't 0 are in it. The text is the only input of a
+score.
 
 Defined cases: null and empty texts are one chunk of padding and get a score; very long texts are scored in pieces; rows
 that repeat get equal scores; without labels of both kinds the score is their share (0.5 without any); an empty table gives
@@ -28,7 +28,6 @@ from tidelog.llm.common import in_python
 FOLDS = 5
 THRESHOLD = 0.3
 MAX_DOCUMENTS = 4000
-MAX_CHUNKS = 4
 CHUNK = 512
 STEP = 384
 BLOCK = 4  # bytes per step of a filter; a filter is two blocks wide
@@ -89,9 +88,11 @@ def _new_network(rng) -> Network:
 def _gradients(net: Network, chunks: np.ndarray, owner: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     """Of the mean cross entropy over documents; owner is each chunk's document."""
     n = len(y)
-    responses = net.responses(chunks)
-    at = responses.argmax(axis=1)
-    top = np.take_along_axis(responses, at[:, None], 1)[:, 0] + net.bias
+    parts = [slice(i, i + _AT_ONCE) for i in range(0, len(chunks), _AT_ONCE)]  # a long text has many chunks
+    at, top = np.empty((len(chunks), FILTERS), np.int64), np.empty((len(chunks), FILTERS), np.float32)
+    for part in parts:
+        responses = net.responses(chunks[part])
+        at[part], top[part] = responses.argmax(axis=1), responses.max(axis=1) + net.bias
     per = 1 / np.bincount(owner, minlength=n).astype(np.float32)
     pooled = np.zeros((n, FILTERS), np.float32)
     np.add.at(pooled, owner, np.maximum(top, 0) * per[owner, None])
@@ -100,14 +101,15 @@ def _gradients(net: Network, chunks: np.ndarray, owner: np.ndarray, y: np.ndarra
     back = error[:, None] * net.out * (1 - inner**2)
     to_top = ((back @ net.hidden.T) * per[:, None])[owner] * (top > 0)
     # Only the place of the largest response passes a gradient on.
-    places = (at[:, :, None] * BLOCK + np.arange(2 * BLOCK)).reshape(len(chunks), -1)
-    seen = np.take_along_axis(chunks, places, 1).reshape(len(chunks), FILTERS, 2 * BLOCK)
-    inputs = net.embedding[seen].reshape(len(chunks), FILTERS, -1)
-    d_filters = np.einsum("cfi,cf->if", inputs, to_top).reshape(net.filters.shape)
     flat = net.filters.reshape(-1, FILTERS)
-    d_inputs = (to_top[:, :, None] * flat.T).reshape(-1, WIDTH)
-    d_embedding = np.zeros_like(net.embedding)
-    np.add.at(d_embedding, seen.ravel(), d_inputs)
+    d_embedding, d_filters = np.zeros_like(net.embedding), np.zeros_like(net.filters)
+    for part in parts:
+        some, passed = chunks[part], to_top[part]
+        places = (at[part, :, None] * BLOCK + np.arange(2 * BLOCK)).reshape(len(some), -1)
+        seen = np.take_along_axis(some, places, 1).reshape(len(some), FILTERS, 2 * BLOCK)
+        inputs = net.embedding[seen].reshape(len(some), FILTERS, -1)
+        d_filters += np.einsum("cfi,cf->if", inputs, passed).reshape(net.filters.shape)
+        np.add.at(d_embedding, seen.ravel(), (passed[:, :, None] * flat.T).reshape(-1, WIDTH))
     return [
         d_embedding, d_filters, to_top.sum(axis=0), pooled.T @ back, back.sum(axis=0), inner.T @ error, error.sum(keepdims=True)
     ]
@@ -135,17 +137,6 @@ def train(chunks: list[np.ndarray], y: np.ndarray) -> Network | float:
     return net
 
 
-def _sampled(batches):
-    """Up to MAX_CHUNKS chunks of each document, evenly spread."""
-    for batch in batches:
-        lists = []
-        for text in batch.column("text").cast(pa.binary()):
-            chunks = chunked(text.as_py() or b"")
-            some = np.unique(np.linspace(0, len(chunks) - 1, MAX_CHUNKS).astype(int))
-            lists.append(chunks[some].tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(lists, pa.binary())], ["doc_id", "quality", "chunks"])
-
-
 def held_out(doc_id, folds: int = FOLDS):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0
 
@@ -154,12 +145,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS)
     marked = labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
     marked = marked.filter("doc_id is not null and quality in (0, 1)").filter(~held_out(F.col("doc_id")))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_documents)
-    kind = docs.schema["doc_id"].dataType.simpleString()
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_documents short rows
-    rows = in_python(sample, _sampled, f"doc_id {kind}, quality int, chunks binary").collect()
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    sample = sample.select("doc_id", "quality", text.alias("text"))
+    # An id may have any number of rows: they are bounded too.
+    rows = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", F.xxhash64("text")).limit(max_documents).collect()
     rows.sort(key=lambda r: (r[0], bytes(r[2])))
-    chunks = [np.frombuffer(r[2], np.uint8).reshape(-1, CHUNK) for r in rows]
-    return train(chunks, np.array([r[1] for r in rows], np.int64))
+    return train([chunked(bytes(r[2])) for r in rows], np.array([r[1] for r in rows], np.int64))
 
 
 def score(text: bytes, network: Network | float) -> float:
