@@ -81,8 +81,10 @@ def _changed(spark, sf) -> DataFrame:
     return explode_rows(resolve_tables(L.row_events(spark, sf)))
 
 
-def _named(spark, sf) -> DataFrame:
-    return C.attach_columns(drop_bad_rows(_changed(spark, sf)), _catalogs(spark, sf)[0])
+def _named(spark, sf, names=lambda columns: columns) -> DataFrame:
+    """The readable rows with their table's columns; `name_keys` are its names as keys, worked out once per table."""
+    columns = _catalogs(spark, sf)[0].withColumn("name_keys", R.keys_of(names(F.col("columns"))))
+    return C.attach_columns(drop_bad_rows(_changed(spark, sf)), columns)
 
 
 def _feed(spark, sf) -> DataFrame:
@@ -239,13 +241,12 @@ def q_name_cells(spark, sf):
 def _both_images() -> list:
     """The JSON of either image, null where there is none."""
     images = {side: F.col(f"row_change.{side}") for side in ("before", "after")}
-    return [F.when(i.isNotNull(), R.row_image_json(i, F.col("columns"))).alias(side) for side, i in images.items()]
+    return [F.when(i.isNotNull(), R.keyed_image_json(i, F.col("name_keys"))).alias(side) for side, i in images.items()]
 
 
 def q_row_json_missing_names(spark, sf):
     # Names of the first two columns only: the rest is named by place.
-    rows = _named(spark, sf).withColumn("columns", F.slice("columns", 1, 2))
-    return rows.select(*_PLACE, *_both_images())
+    return _named(spark, sf, lambda columns: F.slice(columns, 1, 2)).select(*_PLACE, *_both_images())
 
 
 def q_row_image_json(spark, sf):

@@ -5,6 +5,8 @@ JSON fragments (text) and never pass through a map or a variant. Names are quote
 is a quoted name with its colon, e.g. `"user_id":`.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -184,9 +186,19 @@ def object_json(keys: Column, values: Column, distinct: Column | None = None) ->
     return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value that is worked out once per row, however often it occurs in there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def keyed_image_json(cells: Column, keys: Column) -> Column:
+    """A row image as a JSON object under the catalog's keys (`keys_of`), which are best kept as a column of the catalog."""
+    return _once(cell_keys(cells, keys), lambda own: object_json(own, fragments(cells)))
+
+
 def row_image_json(cells: Column, names: Column) -> Column:
     """A row image as a JSON object under the catalog's names."""
-    return object_json(cell_keys(cells, keys_of(names)), fragments(cells))
+    return _once(keys_of(names), lambda keys: keyed_image_json(cells, keys))
 
 
 def row_envelope(operation: Column, before: Column, after: Column) -> Column:
