@@ -20,3 +20,11 @@ def test_queries_quote_names_once_per_table(spark, sf):
     plan = Q.q_row_image_json(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     top = plan[: plan.index("Join")]
     assert "name_keys" in top and "transform(columns" not in top
+
+
+def test_log_is_put_in_order_without_its_rows(spark, sf):
+    assert "rows" not in L._headers(spark, sf).columns
+    landed, derived = L.row_events(spark, sf), L.derive_row_events(spark, sf)
+    order = ["file_no", "start_pos", "event_type"]
+    names = derived.columns
+    assert landed.select(*names).orderBy(*order).collect() == derived.orderBy(*order).collect()
