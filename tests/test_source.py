@@ -1,5 +1,8 @@
 """The log as a stream of positions."""
 
+import os
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 from test_operators import expected_tables, log_frame, random_log
@@ -77,3 +80,43 @@ def test_a_stream_from_a_position_reads_on(spark, tmp_path, position):
     # The second start goes on in the file where the first one stopped.
     assert seen[-1][0] == str(log[cut]["file_no"]) or seen[-1][0] == str(log[cut - 1]["file_no"])
     assert got.select(F.count_distinct("file_no", "start_pos")).first()[0] == len(expected)
+
+
+def test_an_append_under_way_is_not_read(spark, tmp_path):
+    """Files of a committing job show in any order: a later log file before the rest of an earlier one."""
+    path, rest = (str(tmp_path / n) for n in ("log", "rest"))
+    log = random_log(3, files=3, events=30)
+    first = [e for e in log if e["file_no"] == 1][:10]
+    land(spark, first, path)
+    land(spark, log[10:], rest)
+    source = reader(path)
+    begin = source.initialOffset()
+    assert begin == {"file_no": 1, "pos": first[-1]["end_pos"]}
+    (tmp_path / "log" / "_temporary").mkdir()
+    shutil.copytree(f"{rest}/file_no=3", f"{path}/file_no=3")
+    rows, end = source.read(begin)
+    assert (list(rows), end) == ([], begin)
+    shutil.copytree(f"{rest}/file_no=1", f"{path}/file_no=1", dirs_exist_ok=True)
+    shutil.copytree(f"{rest}/file_no=2", f"{path}/file_no=2")
+    (tmp_path / "log" / "_temporary").rmdir()
+    rows, end = source.read(begin)
+    assert [r[0] for r in rows] == [1, 2, 3] and end == {"file_no": 3, "pos": log[-1]["end_pos"]}
+
+
+def test_an_append_that_ends_during_the_look_is_not_read(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    log = random_log(3, files=3, events=30)
+    land(spark, log, path)
+    source = reader(path, "1:4")
+    begin = source.initialOffset()
+    reached = type(source)._reached
+
+    def slow(self, start):
+        end = reached(self, start)
+        os.utime(f"{path}/_SUCCESS", ns=(1, 1))
+        return end
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(source), "_reached", slow)
+        assert source.read(begin)[1] == begin
+    assert source.read(begin)[1] == {"file_no": 3, "pos": log[-1]["end_pos"]}

@@ -3,6 +3,10 @@
 The source hands out stretches of log, not events: where it stands follows from the footers of the landed files, from the
 file of its offset on. Each micro-batch then reads its stretches as plain Parquet, so no event passes through Python and
 no file before the offset is listed or opened. It goes as far as the log has landed without a gap.
+
+A Spark job that appends to the log shows its files one by one and in no order when it commits: a later log file may be there
+before the rest of an earlier one, and positions alone don't tell that the earlier one has a rest. So the offset waits while
+such a job is under way, which its `_temporary` folder tells, or has ended during the look (the time of `_SUCCESS`).
 """
 
 import json
@@ -46,6 +50,14 @@ def _source():
             found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
             return sorted(int(f.base_name.split("=")[1]) for f in found if f.base_name.startswith("file_no="))
 
+        def _append(self):
+            """Whether a job is appending to the log, and when the last one ended."""
+            from pyarrow import fs
+
+            store, root = self._store()
+            job, done = store.get_file_info([f"{root}/_temporary", f"{root}/_SUCCESS"])
+            return job.type != fs.FileType.NotFound, done.mtime_ns
+
         def _landed(self, file_no):
             """(first position, end) of each row group of a log file, from the footers."""
             from pyarrow import fs, parquet
@@ -84,6 +96,12 @@ def _source():
             return {"file_no": files[-1], "pos": 4 if self.start == "start" else end}
 
         def read(self, start):
+            before, end = self._append(), self._reached(start)
+            if before[0] or self._append() != before:
+                end = start
+            return self.readBetweenOffsets(start, end), end
+
+        def _reached(self, start):
             file_no, pos = start["file_no"], start["pos"]
             later = [f for f in self._files() if f > file_no]
             reached, whole = self._upto(file_no, pos) if file_no else (pos, True)
@@ -92,8 +110,7 @@ def _source():
                     break
                 file_no = following
                 reached, whole = self._upto(following, 4)
-            end = {"file_no": file_no, "pos": reached}
-            return self.readBetweenOffsets(start, end), end
+            return {"file_no": file_no, "pos": reached}
 
         def readBetweenOffsets(self, start, end):
             if start == end:
