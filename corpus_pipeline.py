@@ -23,7 +23,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (5-word Jaccard 0.8 or more), that with the smallest doc_id."""
+    """One document of each group of near copies, that with the smallest doc_id: SimHash components, held to a 5-word Jaccard of
+    0.8 or more, and what else reaches that."""
     return without_near_copies(docs)
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from corpus_pipeline import near_duplicates
-from tidelog.llm import near
+from tidelog.llm import near, simhash
 
 
 def _set(text) -> set:
@@ -124,3 +124,18 @@ def test_prefixes_share_a_shingle():
         order = np.zeros(near.ORDER_PLACES, np.int32)
         order[near.places(own)] = rng.integers(2, 5, n)
         assert set(near.rare_shingles(a, order)) & set(near.rare_shingles(b, order))
+
+
+def test_stage_takes_its_fingerprints_links(spark, monkeypatch):
+    """Near copies whose fingerprints differ in two bits at most are linked by simhash, before and without any band."""
+    words = [f"w{k}" for k in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join(words) + " end"), (3, " ".join(reversed(words))), (4, " ".join(words).upper())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert bin((simhash.fingerprint(rows[0][1].encode()) ^ simhash.fingerprint(rows[1][1].encode())) % 2**64).count("1") <= 2
+    names = {r[0]: r[1] for r in docs.select("doc_id", near.text_class(docs.text)).collect()}
+    found = near.connected_components(near.fingerprint_links(docs)).collect()
+    assert {r["node"] for r in found} == {names[k] for k in (1, 2, 4)} and len({r["root"] for r in found}) == 1
+    seen = []
+    monkeypatch.setattr(near, "_bucket_pairs", lambda shared, real=near._bucket_pairs: seen.append(shared.count()) or real(shared))
+    assert sorted(r[0] for r in near_duplicates(spark, docs, "").collect()) == [1, 3]
+    assert seen == [0]

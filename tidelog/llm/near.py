@@ -1,8 +1,9 @@
 """The pipeline's near-duplicates: texts whose sets of 5-word shingles have a Jaccard similarity of MIN_SIMILARITY or more.
 
-The fingerprints of `simhash` reach two bits, which finds few pairs below 0.97. Here a text has BANDS keys, each of the
-least values of ROWS random functions over its shingles; texts of similarity 0.8 share a key with 0.999. Pairs that share
-one are verified by their exact shingle sets, and verified pairs are linked.
+First come the components of `simhash`: each text is held against the smallest of its component by exact shingle sets, and is
+linked if similar. Two bits find few pairs below 0.97. For the rest a text has BANDS keys, each of the least values of ROWS
+random functions over its shingles; texts of similarity 0.8 share a key with 0.999. Pairs that share one and aren't linked
+yet are verified by their exact shingle sets, and verified pairs are linked.
 
 Equal texts are one class before all this. A key with more than MAX_BUCKET classes isn't paired: its members are verified
 against its smallest class, then in PIVOT_ROUNDS rounds those outside the key's largest component against one more of that
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm import simhash
 from tidelog.llm.common import as_rows, in_python, stored
 from tidelog.llm.components import connected_components
 from tidelog.llm.hashing import MULTIPLIERS, ranges_hash, windows_hash, word_hashes
@@ -239,17 +241,34 @@ def _rare_links(rows: DataFrame, own: DataFrame) -> DataFrame:
     return links.unionByName(_links(pairs, own, "near-rest-links"))
 
 
-def near_classes(docs: DataFrame) -> DataFrame:
-    """(node, root): the classes of texts that are linked, and their component's smallest."""
+def fingerprint_links(docs: DataFrame) -> DataFrame:
+    """The links (a, b) between the classes of one component of `simhash` that are similar: each class and the smallest."""
+    texts = docs.select(text_class(F.col("text")).alias("class"), F.coalesce("text", F.lit("")).alias("text"))
+    prints = simhash.fingerprints(texts.withColumnRenamed("class", "doc_id")).distinct()
+    prints = stored(prints.withColumnRenamed("doc_id", "class"), "near-prints")
+    roots = connected_components(simhash.near_links(prints.select("print").distinct()))
+    rooted = prints.join(roots, F.col("print") == F.col("node"), "left").select("class", F.coalesce("root", "print").alias("root"))
+    first = rooted.groupBy("root").agg(F.min("class").alias("b"), F.count("*").alias("n")).filter("n > 1")
+    pairs = stored(rooted.join(first, "root").filter("class <> b").select(F.col("class").alias("a"), "b"), "near-print-pairs")
+    return _links(pairs, _texts_of(pairs, texts), "near-print-links")
+
+
+def near_classes(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """(node, root): the classes of texts that are linked, and their component's smallest; found are links (a, b) known before."""
     texts = docs.select(text_class(F.col("text")).alias("class"), F.coalesce("text", F.lit("")).alias("text"))
     sketches = in_python(texts, _sketches, "class bigint, size int, bands array<bigint>")
     sketches = stored(sketches.dropDuplicates(["class"]), "near-sketches")
-    shared = _shared(sketches.select(F.explode("bands").alias("key"), "class", F.col("class").alias("root"), "size"), "near-keys")
+    if found is None:
+        sketches = sketches.withColumn("root", F.col("class"))
+    else:
+        sketches = _rooted(sketches, stored(connected_components(found), "near-found-roots"))
+    shared = _shared(sketches.select(F.explode("bands").alias("key"), "class", "root", "size"), "near-keys")
     crowded = shared.filter(F.col("n") > MAX_BUCKET)
     stars = crowded.filter("class <> first").select(F.col("class").alias("a"), F.col("first").alias("b"))
     pairs = stored(_bucket_pairs(shared).unionByName(stars).distinct(), "near-pairs")
     own = _texts_of(pairs, texts)
     links = _links(pairs, own, "near-links")
+    links = links if found is None else links.unionByName(found)
     roots = stored(connected_components(links), "near-roots")
     # All members of crowded keys are in pairs, so their texts are in own.
     crowded = crowded.select("key", "class")
@@ -272,7 +291,7 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     rows = as_rows(docs).select("doc", text_class(F.col("doc.text")).alias("class"), F.xxhash64("doc").alias("row_hash"))
     order = F.struct(F.col("doc.doc_id").isNull().alias("no_id"), F.col("doc.doc_id").alias("doc_id"), "row_hash", "class")
     least = rows.groupBy("class").agg(F.min(order).alias("least"))
-    best = _rooted(least, near_classes(docs)).groupBy("root").agg(F.min("least").alias("least"))
+    best = _rooted(least, near_classes(docs, fingerprint_links(docs))).groupBy("root").agg(F.min("least").alias("least"))
     best = stored(best.select(F.col("least.class").alias("_class"), F.col("least.row_hash").alias("_hash")), "near-best")
     kept = rows.join(best, (F.col("class") == F.col("_class")) & (F.col("row_hash") == F.col("_hash")), "left_semi")
     return kept.dropDuplicates(["class", "row_hash"]).select("doc.*")
