@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 from samples import log as L
 from samples import queries as Q
+
 from tidelog.functions import render as R
+from tidelog.sources.files import names_in
 
 
 def test_row_image_quotes_names_once(spark):
@@ -28,3 +30,15 @@ def test_log_is_put_in_order_without_its_rows(spark, sf):
     order = ["file_no", "start_pos", "event_type"]
     names = derived.columns
     assert landed.select(*names).orderBy(*order).collect() == derived.orderBy(*order).collect()
+
+
+def test_streams_land_in_as_many_files_as_the_log_is_read_in(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4m")
+    try:
+        landed, files = Q._landed(spark, "/root/testdata/sf0.01")
+    finally:
+        spark.conf.set(key, before)
+    assert files > 2
+    assert sum(n.startswith("part-") for n in names_in(spark, landed)) == 2 * files
