@@ -1,10 +1,12 @@
 """What must hold for queries to grow with their input: work per table or per header, and no narrow places."""
 
+from conftest import plan_of
 from pyspark.sql import functions as F
 from samples import log as L
 from samples import queries as Q
 
 from tidelog.functions import render as R
+from tidelog.operators.asof import asof_join
 from tidelog.sources.files import names_in
 
 
@@ -42,3 +44,11 @@ def test_streams_land_in_as_many_files_as_the_log_is_read_in(spark):
         spark.conf.set(key, before)
     assert files > 2
     assert sum(n.startswith("part-") for n in names_in(spark, landed)) == 2 * files
+
+
+def test_dozens_of_points_need_no_folders(spark):
+    facts = spark.range(2000).select(F.lit(1).cast("bigint").alias("file_no"), F.col("id").alias("start_pos"))
+    points = spark.range(0, 2000, 50).select(F.lit(1).cast("bigint").alias("file_no"), F.col("id").alias("from_pos"), F.col("id").alias("at"))
+    found = asof_join(facts, points, ["file_no"], ["at"])
+    assert "Arrow" not in plan_of(found)
+    assert {(r["start_pos"], r["at"]) for r in found.collect()} == {(n, (n - 1) // 50 * 50) for n in range(1, 2000)}

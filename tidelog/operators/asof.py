@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from tidelog.settings import broadcast_bytes, chunk_bytes, scratch_dir
 
-# Points that one key may have for the broadcast join (each fact is compared with all of them).
-MAX_POINTS = 16
+# Points that one key may have for the broadcast join (each fact is compared with all of them: some nanoseconds each, while
+# a chunk costs a folder to write and one to open in every task that meets it).
+MAX_POINTS = 128
 
 # Chunks of points that a task keeps at a time.
 _KEPT_CHUNKS = 4
