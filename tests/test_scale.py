@@ -6,6 +6,7 @@ from samples import log as L
 from samples import queries as Q
 
 from tidelog.functions import render as R
+from tidelog.operators import seek
 from tidelog.operators.asof import asof_join
 from tidelog.sources.files import names_in
 
@@ -52,3 +53,17 @@ def test_dozens_of_points_need_no_folders(spark):
     found = asof_join(facts, points, ["file_no"], ["at"])
     assert "Arrow" not in plan_of(found)
     assert {(r["start_pos"], r["at"]) for r in found.collect()} == {(n, (n - 1) // 50 * 50) for n in range(1, 2000)}
+
+
+def test_positions_are_shuffled_beyond_a_few(spark, sf, monkeypatch):
+    few = {tuple(r) for r in Q.q_resolve_start(spark, sf).collect()}
+    monkeypatch.setattr(seek, "_FEW_POSITIONS", 0)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        many = Q.q_resolve_start(spark, sf)
+        assert "BroadcastHashJoin" not in plan_of(many)
+        assert {tuple(r) for r in many.collect()} == few
+    finally:
+        spark.conf.set(threshold, before)

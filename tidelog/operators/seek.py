@@ -12,6 +12,12 @@ from tidelog.settings import scratch_dir
 # Width of a time bucket in seconds. Both sides are reduced to distinct seconds first, which bounds a bucket.
 _SECONDS_PER_BUCKET = 1 << 16
 
+# Up to this many positions are broadcast to the targets, a few MB; more are shuffled.
+_FEW_POSITIONS = 1 << 15
+
+# Slices of the targets without an instant.
+_SPREAD = 1 << 12
+
 # Up to this many crossing files are named in the scan's filter.
 _LISTED_FILES = 1000
 
@@ -45,6 +51,20 @@ def _crossing_files(files: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def _with_positions(targets: DataFrame, positions: DataFrame) -> DataFrame:
+    """Targets with their positions, which are as many as distinct instants and so grow with the targets: a plain shuffle.
+
+    Targets without an instant meet nothing; they are spread over all tasks. Skewed instants are for Spark to split.
+    """
+    unset = F.when(F.col("target_ts").isNull(), F.pmod(F.xxhash64(*targets.columns), F.lit(_SPREAD)) + 1)
+    spread = targets.withColumn("_at", F.coalesce("target_ts", F.lit(0))).withColumn("_unset", F.coalesce(unset, F.lit(0)))
+    found = positions.withColumnRenamed("target_ts", "_at").withColumn("_unset", F.lit(0).cast("bigint"))
+    few = positions.count() <= _FEW_POSITIONS
+    return spread.join(F.broadcast(found) if few else found, ["_at", "_unset"], "left").select(
+        *targets.columns, "log_name", "file_no", "pos"
+    )
+
+
 def seek_positions(row_events: DataFrame, targets: DataFrame) -> DataFrame:
     """Add (log_name, file_no, pos) to a table of instants (`target_ts`, unix seconds).
 
@@ -86,7 +106,7 @@ def seek_positions(row_events: DataFrame, targets: DataFrame) -> DataFrame:
         "file_no",
         F.coalesce("found", "file_end", F.lit(FIRST_OFFSET).cast("bigint")).alias("pos"),
     )
-    return lookup_join(targets, _written(positions, "seek-positions"), ["target_ts"])
+    return _with_positions(targets, _written(positions, "seek-positions"))
 
 
 def resolve_start(specs: DataFrame, row_events: DataFrame) -> DataFrame:
