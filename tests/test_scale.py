@@ -8,6 +8,7 @@ from samples import queries as Q
 from tidelog.functions import render as R
 from tidelog.operators import seek
 from tidelog.operators.asof import asof_join
+from tidelog.operators.resolve import resolve_tables
 from tidelog.sources.files import names_in
 
 
@@ -35,6 +36,24 @@ def test_log_is_put_in_order_without_its_rows(spark, sf):
     assert landed.select(*names).orderBy(*order).collect() == derived.orderBy(*order).collect()
 
 
+def test_log_lands_in_parts_of_many_log_files(spark):
+    log = L.row_events(spark, "/root/testdata/sf0.01")
+    files = log.inputFiles()
+    assert not any("file_no=" in f for f in files)
+    assert 1 < len(files) <= 2 * spark.sparkContext.defaultParallelism
+    # In log order: each part has log positions of its own.
+    place = F.struct("file_no", "start_pos")
+    bounds = log.groupBy(F.input_file_name().alias("part")).agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    found = sorted((tuple(r["low"]), tuple(r["high"])) for r in bounds.collect())
+    assert all(before[1] < after[0] for before, after in zip(found, found[1:]))
+
+
+def test_maps_are_gathered_once(spark, sf):
+    """The plan of a resolution reads the bindings that its tests read, and scans the log for the rows events only."""
+    plan = resolve_tables(L.row_events(spark, sf))._jdf.queryExecution().optimizedPlan().toString()
+    assert "TABLE_MAP" not in plan and plan.count("Relation") == 2
+
+
 def test_streams_land_in_as_many_files_as_the_log_is_read_in(spark):
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
