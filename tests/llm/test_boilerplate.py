@@ -38,3 +38,24 @@ def test_blocks_go_and_copies_stay(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     for limit in (templates.BROADCAST_TEMPLATES, 0):
         assert {r.doc_id: r.kept_sha256 for r in templates.line_dedup_report(docs, limit=limit).collect()} == expected
+
+
+def test_known_templates_are_an_array_and_rows_are_cut_in_slices(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    known = np.sort(np.array([t for x in (b"one", b"two") for t in templates.line_templates(x)], np.int64))
+    assert templates._among(known, [*templates.line_templates(b"two"), 5]) == set(templates.line_templates(b"two"))
+    assert templates._among(known[:0], [5]) == templates._among(known, []) == set()
+    monkeypatch.setattr(templates, "_AT_ONCE", 2)
+    texts = [None, "", "one\nmy own", "two", "my own\n\ntwo"]
+    doc = pa.array([{"doc_id": i, "text": t} for i, t in enumerate(texts)], pa.struct({"doc_id": pa.int64(), "text": pa.string()}))
+
+    class Known:
+        value = known
+
+    # Whole rows hold their text once.
+    cut = list(templates._cut_broadcast(Known, True)([pa.RecordBatch.from_arrays([doc], ["doc"])]))
+    assert [b.num_rows for b in cut] == [2, 2, 1]
+    found = [tuple(r.values()) for b in cut for r in b.select(["kept_text", "n_lines", "n_removed"]).to_pylist()]
+    assert found == [("", 0, 0), ("", 0, 0), ("my own", 2, 1), ("", 1, 1), ("my own\n", 2, 1)]

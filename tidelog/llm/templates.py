@@ -44,6 +44,7 @@ BROADCAST_TEMPLATES = 4_000_000  # 8 bytes each
 _DIGIT = re.compile(rb"\d")
 _ANY = b"<*>"
 _BATCH = 1 << 16
+_AT_ONCE = 1024  # rows that a task cuts at a time
 
 
 def line_templates(line: bytes) -> tuple[int, ...]:
@@ -85,20 +86,29 @@ def _seen(batches):
 
 
 def _known(templates: DataFrame, limit: int):
-    """The templates (a stored table) as a broadcast array, or None if they are more than the limit."""
+    """The templates (a stored table) as a broadcast sorted array, or None if they are more than the limit."""
     if templates.count() > limit:
         return None
-    return templates.sparkSession.sparkContext.broadcast(np.array([r[0] for r in templates.toLocalIterator()], np.int64))  # limit numbers at most
+    found = templates.toArrow().column(0).to_numpy()  # limit numbers at most
+    return templates.sparkSession.sparkContext.broadcast(np.sort(found))
+
+
+def _among(known: np.ndarray, templates: list[int]) -> set[int]:
+    """Those of the templates that are known. A set of all the known ones would be many times their array, in each worker."""
+    own = np.array(templates, np.int64)
+    if not len(known) or not len(own):
+        return set()
+    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    return set(own[known[at] == own].tolist())
 
 
 def _holding(known):
     """The texts that hold a known template."""
 
     def holding(batches):
-        among = set(known.value.tolist())
         for batch in batches:
             texts = (t.as_py() or b"" for t in batch.column("text").cast(pa.binary()))
-            yield batch.filter(pa.array([any(not among.isdisjoint(line_templates(x)) for x in t.split(b"\n")) for t in texts], pa.bool_()))
+            yield batch.filter(pa.array([bool(_among(known.value, [t for ts in _lines(x) for t in ts])) for x in texts], pa.bool_()))
 
     return holding
 
@@ -122,17 +132,16 @@ def recurring_templates(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, lim
     return pairs.groupBy("template").count().filter(F.col("count") >= min_documents).select("template")
 
 
-def cut_lines(text: bytes, drops) -> tuple[bytes, int, int]:
-    """The text without its dropped lines, its number of lines, and how many were dropped."""
-    kept, n, removed = [], 0, 0
-    for line in text.split(b"\n"):
-        templates = line_templates(line)
-        n += bool(templates)
-        if templates and drops(templates):
-            removed += 1
-        else:
-            kept.append(line)
-    return b"\n".join(kept), n, removed
+def cut_lines(text: bytes, drops_of) -> tuple[bytes, int, int]:
+    """The text without its dropped lines, its number of lines, and how many were dropped.
+
+    `drops_of` gets the templates of all lines and gives those whose lines are dropped.
+    """
+    lines = text.split(b"\n")
+    templates = [line_templates(line) for line in lines]
+    drops = drops_of([t for ts in templates for t in ts])
+    kept = [line for line, ts in zip(lines, templates) if drops.isdisjoint(ts)]
+    return b"\n".join(kept), sum(map(bool, templates)), len(lines) - len(kept)
 
 
 def _result(batch: pa.RecordBatch, texts: list, with_rows: bool) -> pa.RecordBatch:
@@ -146,23 +155,30 @@ def _result(batch: pa.RecordBatch, texts: list, with_rows: bool) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([batch.column("doc"), sha, *numbers], ["doc", "kept_sha256", "n_lines", "n_removed"])
 
 
+def _few(batches, with_rows: bool):
+    """The batches in slices, with their texts, which whole rows hold already."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _AT_ONCE):
+            part = batch.slice(at, _AT_ONCE)
+            text = part.column("doc").field("text") if with_rows else part.column("text")
+            yield part, text.cast(pa.binary())
+
+
 def _cut_broadcast(recurring, with_rows: bool):
     def cut(batches):
-        known = set(recurring.value.tolist())
-        for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
-            yield _result(batch, [cut_lines(t.as_py() or b"", lambda ts: not known.isdisjoint(ts)) for t in texts], with_rows)
+        for batch, texts in _few(batches, with_rows):
+            yield _result(batch, [cut_lines(t.as_py() or b"", lambda ts: _among(recurring.value, ts)) for t in texts], with_rows)
 
     return cut
 
 
 def _cut_listed(with_rows: bool):
     def cut(batches):
-        for batch in batches:
+        for batch, texts in _few(batches, with_rows):
             out = []
-            for text, listed in zip(batch.column("text").cast(pa.binary()), batch.column("drops")):
+            for text, listed in zip(texts, batch.column("drops")):
                 own = set(listed.as_py() or ())
-                out.append(cut_lines(text.as_py() or b"", lambda ts: not own.isdisjoint(ts)))
+                out.append(cut_lines(text.as_py() or b"", lambda ts: own))
             yield _result(batch, out, with_rows)
 
     return cut
@@ -184,15 +200,16 @@ def _cut_rows(docs: DataFrame, with_rows: bool, min_documents: int, limit: int)
     carried = F.col("doc") if with_rows else F.struct("doc.doc_id").alias("doc")
     kind = rows.select(carried).schema["doc"].dataType.simpleString()
     schema = f"doc {kind}, {kept} string, n_lines bigint, n_removed bigint"
+    needed = [carried] if with_rows else [carried, text]
     known = _known(recurring, limit)
     if known is not None:
-        return in_python(rows.select(carried, text), _cut_broadcast(known, with_rows), schema)
+        return in_python(rows.select(*needed), _cut_broadcast(known, with_rows), schema)
     # A row's identity: equal rows have equal texts and so the same drops.
     identity = F.sha2(F.coalesce(F.col("doc.text"), F.lit("")), 256).alias("row_id")
     held = in_python(rows.select(identity, text).dropDuplicates(["row_id"]), _held, "row_id string, held array<bigint>")
     drops = held.select("row_id", F.explode("held").alias("template")).join(recurring, "template", "left_semi")
     drops = drops.groupBy("row_id").agg(F.collect_list("template").alias("drops"))  # a text's own templates
-    listed = rows.select(carried, text, identity).join(drops, "row_id", "left").select("doc", "text", "drops")
+    listed = rows.select(*needed, identity).join(drops, "row_id", "left").drop("row_id")
     return in_python(listed, _cut_listed(with_rows), schema)
 
 
