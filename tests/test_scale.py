@@ -8,7 +8,7 @@ from samples import queries as Q
 from tidelog.functions import render as R
 from tidelog.operators import seek
 from tidelog.operators.asof import asof_join
-from tidelog.operators.resolve import resolve_tables
+from tidelog.operators.resolve import drop_bad_rows, explode_rows, resolve_tables
 from tidelog.sources.files import names_in
 
 
@@ -86,3 +86,16 @@ def test_positions_are_shuffled_beyond_a_few(spark, sf, monkeypatch):
         assert {tuple(r) for r in many.collect()} == few
     finally:
         spark.conf.set(threshold, before)
+
+
+def test_counting_captured_rows_reads_no_cells(spark, sf):
+    """An append counts what it numbers; that needs the rows' error texts only."""
+    events = Q._captured(spark, sf)
+    plan = events.groupBy("file_no").count()._jdf.queryExecution().executedPlan().toString()
+    assert "rows:array<struct<error:" in plan and "struct<before" not in plan
+    assert events.count() == drop_bad_rows(explode_rows(resolve_tables(L.row_events(spark, sf)))).count()
+
+
+def test_log_is_made_from_one_scan(spark, sf):
+    plan = L.derive_row_events(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1

@@ -133,3 +133,10 @@ def explode_rows(events: DataFrame) -> DataFrame:
 def drop_bad_rows(rows: DataFrame) -> DataFrame:
     """Skip rows that could not be read; the other rows of their event stay."""
     return rows.filter(F.col("row_change.error").isNull())
+
+
+def readable_rows(events: DataFrame) -> DataFrame:
+    """The rows of `explode_rows` that `drop_bad_rows` keeps. Who only counts them reads places and error texts, no cells."""
+    kept = [c for c in events.columns if c != "rows"]
+    placed = events.select(*kept, "rows", F.posexplode("rows.error").alias("row_index", "_error")).filter(F.col("_error").isNull())
+    return placed.select(*kept, "row_index", F.element_at("rows", F.col("row_index") + 1).alias("row_change"))

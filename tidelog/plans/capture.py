@@ -21,7 +21,7 @@ from tidelog.operators.asof import asof_join
 from tidelog.operators.catalog import TABLE_KEY
 from tidelog.operators.lookup import lookup_join
 from tidelog.operators.positions import from_position
-from tidelog.operators.resolve import drop_bad_rows, explode_rows, good_rows, resolve_tables
+from tidelog.operators.resolve import good_rows, readable_rows, resolve_tables
 from tidelog.operators.scan import Running, running
 from tidelog.operators.seek import resolve_start
 from tidelog.settings import chunk_bytes
@@ -187,7 +187,7 @@ def numbered_capture(
 def _exploded(events: DataFrame) -> DataFrame:
     """The readable rows of events; with `first_id` also their ids."""
     if "first_id" not in events.columns:
-        return drop_bad_rows(explode_rows(events))
+        return readable_rows(events)
     placed = F.transform("rows", lambda row, i: F.struct(row.alias("row_change"), i.alias("row_index")))
     good = F.filter(placed, lambda r: r["row_change"]["error"].isNull())
     kept = [c for c in events.columns if c not in ("rows", "first_id")]
