@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.settings import scratch_dir
+from tidelog.settings import scratch_dir, shuffles_dropped
 
 # The six ASCII characters that separate words.
 SPACES = " \t\n\x0b\x0c\r"
@@ -39,7 +39,8 @@ def as_rows(docs: DataFrame) -> DataFrame:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows as a written table in the cluster's shared folder: later steps read it and never compute it again."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
