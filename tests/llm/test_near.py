@@ -7,6 +7,7 @@ import pytest
 
 from corpus_pipeline import near_duplicates
 from tidelog.llm import near, simhash
+from tidelog.llm.common import stored
 
 
 def _set(text) -> set:
@@ -139,3 +140,40 @@ def test_stage_takes_its_fingerprints_links(spark, monkeypatch):
     monkeypatch.setattr(near, "_bucket_pairs", lambda shared, real=near._bucket_pairs: seen.append(shared.count()) or real(shared))
     assert sorted(r[0] for r in near_duplicates(spark, docs, "").collect()) == [1, 3]
     assert seen == [0]
+
+
+def test_first_shared_shingle_has_what_sets_share_behind_it():
+    """The test on crowded rare shingles passes a similar pair at the first shingle that it shares, and few others."""
+    rng = np.random.default_rng(5)
+    least = near.MIN_SIMILARITY / (1 + near.MIN_SIMILARITY)
+    similar = passed = apart = 0
+    for _ in range(600):
+        n = int(rng.integers(10, 120))
+        own = np.unique(rng.integers(1, 1 << 63, 2 * n, dtype=np.uint64))[: n + n // 4]
+        other = own[: n + int(rng.integers(1, n // 4 + 1))]
+        a, b = (np.sort(rng.permutation(other)[:n]) for _ in range(2))
+        order = np.zeros(near.ORDER_PLACES, np.int32)
+        order[near.places(own)] = rng.integers(2, 5, len(own))
+        (keys_a, left_a), (keys_b, left_b) = near.rare_and_left(a, order), near.rare_and_left(b, order)
+        assert list(keys_a) == list(near.rare_shingles(a, order))
+        _, i, j = np.intersect1d(keys_a, keys_b, return_indices=True)
+        fits = np.minimum(left_a[i], left_b[j]) >= least * (len(a) + len(b)) - 1e-6
+        if near.similar(a, b):
+            similar += 1
+            assert fits.any()
+        elif len(i):
+            apart += 1
+            passed += fits.sum() / len(i)
+    assert similar > 50 and apart > 50 and passed < apart
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """A stored table leaves no shuffle files; the session's setting is as before."""
+    store = spark._jsc.sc().env().blockManager().diskBlockManager()
+    shuffles = lambda: {f.getName() for f in [store.getAllFiles().apply(i) for i in range(store.getAllFiles().size())] if f.getName().startswith("shuffle_")}
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffles()
+    value = spark.conf.get(key, None)
+    kept = stored(spark.range(20_000).repartition(7, "id"), "shuffled")
+    assert not [f for f in shuffles() - before if f.endswith(".data")]
+    assert kept.count() == 20_000
+    assert spark.conf.get(key, None) == value

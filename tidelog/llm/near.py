@@ -86,9 +86,19 @@ def rare_shingles(own: np.ndarray, order: np.ndarray) -> np.ndarray:
 
     Two sets that reach MIN_SIMILARITY share one: each lacks at most a fifth of the larger one's shingles.
     """
+    return rare_and_left(own, order)[0]
+
+
+def rare_and_left(own: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`rare_shingles`, and per shingle how many of the set's stand in the order from it on.
+
+    The first shingle that two sets share has all their common ones from it on, so the lesser of its two numbers is no less than
+    what the sets have in common.
+    """
     counts = order[places(own)]
     first = np.lexsort((own, counts))[: len(own) - math.ceil(MIN_SIMILARITY * len(own) - 1e-6) + 1]
-    return own[first[counts[first] > 1]]
+    seen = counts[first] > 1
+    return own[first[seen]], (len(own) - np.arange(len(first), dtype=np.int32))[seen]
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -122,12 +132,12 @@ def _rare(order):
     def rare(batches):
         for batch in batches:
             sets = [shingles(t.as_py()) for t in batch.column("text").cast(pa.binary())]
-            keys = [pa.array(rare_shingles(own, order.value).view(np.int64)) for own in sets]
-            for at, (key, own) in enumerate(zip(keys, sets)):
+            for at, own in enumerate(sets):
+                key, left = rare_and_left(own, order.value)
                 repeated = pa.array(np.full(len(key), at))
                 columns = [batch.column(x).take(repeated) for x in ("class", "root")]
-                size = pa.array(np.full(len(key), len(own), np.int32))
-                yield pa.RecordBatch.from_arrays([key, *columns, size], ["key", "class", "root", "size"])
+                numbers = [pa.array(np.full(len(key), len(own), np.int32)), pa.array(left.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *columns, *numbers], ["key", "class", "root", "size", "left"])
 
     return rare
 
@@ -221,9 +231,9 @@ def _rare_links(rows: DataFrame, own: DataFrame) -> DataFrame:
     order = np.zeros(ORDER_PLACES, np.int32)  # ORDER_PLACES numbers, at every size
     order[counts["place"].to_numpy()] = np.minimum(counts["n"].to_numpy(), np.iinfo(np.int32).max)
     order = rows.sparkSession.sparkContext.broadcast(order)
-    shared = _shared(in_python(texts, _rare(order), "key bigint, class bigint, root bigint, size int"), "near-rare")
+    shared = _shared(in_python(texts, _rare(order), "key bigint, class bigint, root bigint, size int, left int"), "near-rare")
     links = _links(stored(_bucket_pairs(shared).distinct(), "near-rare-pairs"), own, "near-rare-links")
-    crowded = shared.filter(F.col("n") > MAX_BUCKET).select("key", "class", "size", F.col("root").alias("before"))
+    crowded = shared.filter(F.col("n") > MAX_BUCKET).select("key", "class", "size", "left", F.col("root").alias("before"))
     if crowded.isEmpty():
         return links
     # Components of the first pass are nodes here: those that were linked since are one.
@@ -232,10 +242,12 @@ def _rare_links(rows: DataFrame, own: DataFrame) -> DataFrame:
     merged = stored(connected_components(merged.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))), "near-rare-roots")
     rooted = crowded.join(merged, F.col("before") == F.col("node"), "left").withColumn("root", F.coalesce("root", "before"))
     largest = rooted.groupBy("key", "root").count().groupBy("key").agg(F.max(F.struct("count", "root")).alias("best"), F.count("*").alias("roots"))
-    rooted = rooted.select("key", "class", "size", "root")
+    rooted = rooted.select("key", "class", "size", "left", "root")
     outside = rooted.join(largest.filter("roots > 1").select("key", F.col("best.root").alias("most")), "key").filter("root <> most")
-    others = rooted.select("key", *[F.col(x).alias(f"other_{x}") for x in ("class", "size", "root")])
-    fits = F.least("size", "other_size") >= MIN_SIMILARITY * F.greatest("size", "other_size")
+    others = rooted.select("key", *[F.col(x).alias(f"other_{x}") for x in ("class", "size", "left", "root")])
+    # A similar pair passes at the first shingle that it shares: there the rest of either holds all that both have.
+    least = MIN_SIMILARITY / (1 + MIN_SIMILARITY) * (F.col("size") + F.col("other_size")) - 1e-6
+    fits = (F.least("size", "other_size") >= MIN_SIMILARITY * F.greatest("size", "other_size")) & (F.least("left", "other_left") >= least)
     pairs = outside.join(others, "key").filter((F.col("root") != F.col("other_root")) & fits)
     pairs = stored(pairs.select(*_ordered(F.col("class"), F.col("other_class"))).distinct(), "near-rest-pairs")
     return links.unionByName(_links(pairs, own, "near-rest-links"))
