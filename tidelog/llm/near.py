@@ -11,8 +11,8 @@ component. Members of keys that still aren't one component meet again, whatever
 one order of all shingles, sets of similarity 0.8 share one of the first fifth of each (prefix filter), which is exact. The
 order is by how often shingles occur among these members, counted in ORDER_PLACES places by hash; two shingles in one place
 are ordered less well, never wrongly. A rare shingle in up to MAX_BUCKET members has them paired; of one in more, all
-members outside its largest component are verified against all its members of other components whose number of shingles
-permits it. So no pair of a crowded key is left out; what is lost is only what shares no key at all.
+members outside its largest component are verified against all its members of other components whose number of shingles, and
+of those that follow the shared one in the order, permits it. So no pair of a crowded key is left out; what is lost is only what shares no key at all.
 
 Defined cases: letter case (ASCII) and the kind of white space make no difference; texts of fewer than five words are one
 shingle; null and blank texts are equal; per component the row with the smallest doc_id stays (a null one counts as larger
