@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.settings import scratch_dir, shuffles_dropped
+from tidelog.settings import broadcast_bytes, scratch_dir, shuffles_dropped
+from tidelog.sources.files import remove
 
 # The six ASCII characters that separate words.
 SPACES = " \t\n\x0b\x0c\r"
@@ -36,14 +39,41 @@ def as_rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("doc"))
 
 
+# The folders of the tables that were stored within the innermost `settled`.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows as a written table in the cluster's shared folder: later steps read it and never compute it again."""
     path = scratch_dir(df.sparkSession, label)
     with shuffles_dropped(df.sparkSession):
         df.write.parquet(path)
+    if (passing := _passing.get()) is not None:
+        passing.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What `make` gives as a stored table. The tables that were stored on the way to it are deleted, as nothing else reads them."""
+    token = _passing.set([])
+    try:
+        made = make()
+        found = stored(made, label)
+        *passed, kept = _passing.get()
+    finally:
+        _passing.reset(token)
+    for path in passed:
+        remove(made.sparkSession, path)
+    if (passing := _passing.get()) is not None:
+        passing.append(kept)
+    return found
+
+
+def small(rows: DataFrame, row_bytes: int) -> bool:
+    """Whether a stored table of rows of about that size may be broadcast."""
+    return rows.count() * row_bytes <= broadcast_bytes(rows.sparkSession)
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import as_rows, in_python, stored
+from tidelog.llm.common import as_rows, in_python, settled, small, stored
 from tidelog.llm.near import near_classes, text_class
 
 # Production parameters.
@@ -116,18 +116,23 @@ def _holding(known):
 def recurring_templates(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, limit: int = BROADCAST_TEMPLATES) -> DataFrame:
     """(template): hashes of the templates whose lines are dropped."""
     texts = docs.select("text", text_class(F.col("text")).alias("class"))
-    seen = stored(in_python(texts, _seen, "template bigint, class bigint"), "line-seen")
-    counts = seen.groupBy("template").agg(F.count("*").alias("n"), F.min("class").alias("a"), F.max("class").alias("b"))
-    frequent = counts.filter((F.col("n") >= min_documents) & ((F.col("a") != F.col("b")) | F.lit(min_documents <= 1)))
-    frequent = stored(frequent.select("template"), "line-frequent")
-    pairs = stored(seen.join(frequent, "template", "left_semi").distinct(), "line-pairs")
+
+    def frequent_pairs() -> DataFrame:
+        seen = stored(in_python(texts, _seen, "template bigint, class bigint"), "line-seen")
+        counts = seen.groupBy("template").agg(F.count("*").alias("n"), F.min("class").alias("a"), F.max("class").alias("b"))
+        often = counts.filter((F.col("n") >= min_documents) & ((F.col("a") != F.col("b")) | F.lit(min_documents <= 1)))
+        often = stored(often.select("template"), "line-often")
+        return seen.join(F.broadcast(often) if small(often, 32) else often, "template", "left_semi").distinct()
+
+    pairs = settled(frequent_pairs, "line-pairs")
+    frequent = stored(pairs.select("template").distinct(), "line-frequent")
     known = _known(frequent, limit)
     if known is not None:
         held = in_python(texts, _holding(known), "text string, class bigint")
     else:
         held = texts.join(pairs.select("class").distinct(), "class", "left_semi")
-    held = stored(held, "line-held")
-    pairs = pairs.join(near_classes(held), F.col("class") == F.col("node"), "left")
+    classes = settled(lambda: near_classes(stored(held, "line-held")), "line-classes")
+    pairs = pairs.join(classes, F.col("class") == F.col("node"), "left")
     pairs = pairs.select("template", F.coalesce("root", "class").alias("class")).distinct()
     return pairs.groupBy("template").count().filter(F.col("count") >= min_documents).select("template")
 
@@ -193,7 +198,7 @@ def _held(batches):
 
 
 def _cut_rows(docs: DataFrame, with_rows: bool, min_documents: int, limit: int) -> DataFrame:
-    recurring = stored(recurring_templates(docs, min_documents, limit), "line-templates")
+    recurring = settled(lambda: recurring_templates(docs, min_documents, limit), "line-templates")
     rows = as_rows(docs if with_rows else docs.select("doc_id", "text"))
     text = F.col("doc.text").alias("text")
     kept = "kept_text" if with_rows else "kept_sha256"
