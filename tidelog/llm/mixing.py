@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import as_rows, stored, word_count
+from tidelog.operators.lookup import encoded_bytes
+from tidelog.settings import broadcast_bytes
 
 # Production parameters.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -194,8 +196,10 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ep
         _place(F.col("doc.doc_id")).alias("place"),
     ).filter("size > 0")
     full = full.withColumn("slice", _slice(F.col("place"), mix.slices))
-    # Some rows per slice; Spark broadcasts them below its threshold and shuffles both sides beyond.
+    # Some rows per slice, broadcast as long as they may be, so that the texts are not shuffled for them too.
     known = stretches.withColumnsRenamed({"source": "_s", "slice": "_k"})
+    if encoded_bytes(stretches) <= broadcast_bytes(docs.sparkSession):
+        known = F.broadcast(known)
     full = full.join(known, F.col("source").eqNullSafe(F.col("_s")) & (F.col("slice") == F.col("_k")))
     at = F.struct("place", "size")
     own = F.filter("stretches", lambda s: (s["first"] <= at) & (at <= s["last"]))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import simhash
-from tidelog.llm.common import as_rows, in_python, stored
+from tidelog.llm.common import as_rows, in_python, settled, small, stored
 from tidelog.llm.components import connected_components
 from tidelog.llm.hashing import MULTIPLIERS, ranges_hash, windows_hash, word_hashes
 
@@ -206,6 +206,10 @@ def _outside(crowded: DataFrame, roots: DataFrame, step: int) -> tuple[DataFrame
 def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(class, text) of the classes in pairs; texts has equal rows for equal texts."""
     needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    needed = stored(needed, "near-needed")
+    if small(needed, 32):
+        texts = texts.join(F.broadcast(needed), "class", "left_semi")
+        return stored(texts.groupBy("class").agg(F.first("text").alias("text")), "near-texts")
     one = texts.groupBy("class").agg(F.first("text").alias("text"))  # copies are one row per task before the shuffle
     return stored(one.join(needed, "class", "left_semi"), "near-texts")
 
@@ -302,8 +306,24 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     """One row of docs per component."""
     rows = as_rows(docs).select("doc", text_class(F.col("doc.text")).alias("class"), F.xxhash64("doc").alias("row_hash"))
     order = F.struct(F.col("doc.doc_id").isNull().alias("no_id"), F.col("doc.doc_id").alias("doc_id"), "row_hash", "class")
-    least = rows.groupBy("class").agg(F.min(order).alias("least"))
-    best = _rooted(least, near_classes(docs, fingerprint_links(docs))).groupBy("root").agg(F.min("least").alias("least"))
-    best = stored(best.select(F.col("least.class").alias("_class"), F.col("least.row_hash").alias("_hash")), "near-best")
-    kept = rows.join(best, (F.col("class") == F.col("_class")) & (F.col("row_hash") == F.col("_hash")), "left_semi")
-    return kept.dropDuplicates(["class", "row_hash"]).select("doc.*")
+    # Each row's place in the order, and how many rows it stands for: rows alike in all columns are one.
+    slim = stored(rows.groupBy("class", "row_hash").agg(F.min(order).alias("least"), F.count("*").alias("n")), "near-rows")
+    least = slim.groupBy("class").agg(F.min("least").alias("least"))
+
+    def best() -> DataFrame:
+        found = settled(lambda: fingerprint_links(docs), "near-found")
+        firsts = _rooted(least, near_classes(docs, found)).groupBy("root").agg(F.min("least").alias("least"))
+        return firsts.select(F.col("least.class").alias("_class"), F.col("least.row_hash").alias("_hash"))
+
+    best = settled(best, "near-best")
+    same = (F.col("class") == F.col("_class")) & (F.col("row_hash") == F.col("_hash"))
+    # The rows that go, and of those that stay the ones that stand for several, are few as a rule: then the others, by far the
+    # most bytes, are kept where they are.
+    gone = slim.join(best, same, "left_anti").select("class", "row_hash", F.lit(False).alias("stays"))
+    several = slim.filter("n > 1").join(best, same, "left_semi").select("class", "row_hash", F.lit(True).alias("stays"))
+    noted = stored(gone.unionByName(several), "near-noted")
+    if small(noted, 64):
+        told = rows.join(F.broadcast(noted), ["class", "row_hash"], "left")
+        once = told.filter("stays").dropDuplicates(["class", "row_hash"])
+        return told.filter("stays is null").select("doc.*").unionByName(once.select("doc.*"))
+    return rows.join(best, same, "left_semi").dropDuplicates(["class", "row_hash"]).select("doc.*")
