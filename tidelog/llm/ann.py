@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import in_python, stored
+from tidelog.settings import broadcast_bytes
 
 # Production parameters.
 K_NEAREST = 10
@@ -39,6 +40,8 @@ SHARE = 0.80  # of a table's chance to hold a neighbour, after which probing end
 SAMPLE = 2000  # vectors, chosen by hash of their id, that the usual distance is taken from
 SEED = 20
 ROWS_PER_SHARD = 2000
+QUERIES_PER_BATCH = 64  # that a task probes at a time; the buckets of one are some 40 KB
+SHARD_BYTES = 64  # of a shard and its number of chunks, broadcast
 
 
 @dataclass
@@ -94,7 +97,11 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
 
 def fit(vectors: DataFrame, tables: int = TABLES, projections: int = PROJECTIONS, share: float = SHARE) -> Hashing | None:
     """Random directions, and the distance at which most vectors of the sample have their K_NEAREST-th neighbour there."""
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()
+    # The place where the sample ends comes from ids alone, so tasks send no more vectors than the sample has.
+    place = F.xxhash64("vec_id").alias("place")
+    last = vectors.select(place, "vec_id").orderBy("place", "vec_id").limit(SAMPLE).agg(F.max("place")).first()[0]
+    early = vectors.filter(F.xxhash64("vec_id") <= F.lit(last))
+    sample = early.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()
     if not sample:
         return None
     lengths = [len(r[0]) for r in sample]
@@ -127,19 +134,20 @@ def _probed(hashing: Hashing, shards: int):
     def probe(batches):
         for batch in batches:
             x = _matrix(batch.column("embedding"), hashing.directions.shape[2])
-            rows, found, lists = [], [], []
-            for i, q in enumerate(x):
-                b = np.concatenate([hashing.probes(q, t) for t in range(len(hashing.directions))])
-                shard = b % shards
-                for s in np.unique(shard):
-                    rows.append(i)
-                    found.append(s)
-                    lists.append(b[shard == s])
-            at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int64()), batch.column("query").take(at), batch.column("embedding").take(at), pa.array(lists, pa.list_(pa.int64()))],
-                ["shard", "query", "embedding", "buckets"],
-            )
+            for first in range(0, len(x), QUERIES_PER_BATCH):
+                rows, found, lists = [], [], []
+                for i, q in enumerate(x[first : first + QUERIES_PER_BATCH], first):
+                    b = np.concatenate([hashing.probes(q, t) for t in range(len(hashing.directions))])
+                    shard = b % shards
+                    for s in np.unique(shard):
+                        rows.append(i)
+                        found.append(s)
+                        lists.append(b[shard == s])
+                at = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.int64()), batch.column("query").take(at), batch.column("embedding").take(at), pa.array(lists, pa.list_(pa.int64()))],
+                    ["shard", "query", "embedding", "buckets"],
+                )
 
     return probe
 
@@ -196,6 +204,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = K_NEARES
         "shard bigint, query bigint, embedding array<float>, buckets array<bigint>",
     )
     chunks = rows.groupBy("shard").agg(F.ceil(F.count("*") / ROWS_PER_SHARD).alias("chunks"))
+    # Said here, as Spark takes lists of buckets for short and would gather the probes or visits of all queries on the driver.
+    chunks = chunks.hint("broadcast" if shards * SHARD_BYTES <= broadcast_bytes(spark) else "merge")
     chunk = F.pmod(F.xxhash64("vec_id"), F.col("chunks")).alias("chunk")
     left = rows.join(chunks, "shard").select("shard", chunk, "bucket", "vec_id", "embedding")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk")
