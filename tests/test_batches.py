@@ -1,0 +1,103 @@
+"""What a micro-batch reads, and the headers that its state is made of."""
+
+import random
+
+import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
+from test_flows import catalogs, land, parsed, sample, split  # noqa: F401
+
+from samples import log as L
+from tidelog.operators.coverage import islands, stretches
+from tidelog.operators.resolve import name_changes, name_points, rows_events_only
+from tidelog.sources.tables import read_row_events
+from tidelog.streaming import state as S
+from tidelog.streaming.batches import each_batch
+from tidelog.streaming.capture import start_from, table_sink
+
+DRAIN = {"availableNow": True}
+
+
+@pytest.mark.parametrize("position", [None, (1, 44)])
+def test_a_batch_reads_the_columns_it_asks_for(spark, tmp_path, position):
+    landed, seen = str(tmp_path / "land ed%41"), {}
+    parts = split(sample(), 3, 6)
+    for part in parts:
+        land(spark, part, landed)
+
+    def run(batch, batch_id):
+        places = batch.select("file_no", "start_pos")
+        headers = rows_events_only(batch).select("file_no")
+        seen[batch_id] = [tuple(r) for r in places.collect()], plan_of(places), plan_of(headers), batch.columns
+
+    source = start_from(read_row_events(spark, landed, stream=True, max_files=1), position)
+    each_batch(source, run).option("checkpointLocation", str(tmp_path / "check")).trigger(**DRAIN).start().awaitTermination()
+    whole = start_from(read_row_events(spark, landed), position)
+    assert sorted(sum((v[0] for v in seen.values()), [])) == sorted(tuple(r) for r in whole.select("file_no", "start_pos").collect())
+    assert seen[0][3] == whole.columns
+    last = seen[max(seen)]
+    assert "rows" not in last[1].split("ReadSchema")[1]
+    schema = last[2].split("ReadSchema")[1]
+    assert "error" in schema and "before" not in schema
+
+
+def test_a_stream_that_is_changed_keeps_its_change(spark, catalogs, tmp_path):  # noqa: F811
+    landed, out = str(tmp_path / "landed"), str(tmp_path / "out")
+    land(spark, sample(), landed)
+    only = read_row_events(spark, landed, stream=True).filter(F.col("table_id") != 2).withColumn("ts_unix", F.lit(7).cast("bigint"))
+    from tidelog.streaming.capture import capture_stream
+
+    capture_stream(only, *catalogs, table_sink(out), str(tmp_path / "check"), trigger=DRAIN).awaitTermination()
+    events = parsed(spark.read.parquet(out).drop("writer", "batch_id"))
+    assert {(e["table"], e["event_time"]) for e in events} == {("parcels", 7), ("spare", 7)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_stretches_have_the_islands_of_their_headers(spark, setting, seed):
+    setting(chunkBytes=50)
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(300):
+        start = rng.randint(0, 900)
+        rows.append((rng.randint(1, 3), start, start + rng.randint(-2, 6)))
+    rows += [(1, 5, None), (2, 700, None), *rows[:20]]
+    headers = spark.createDataFrame(rows, "file_no bigint, start_pos bigint, end_pos bigint").repartition(5, "start_pos")
+    fewer = stretches(headers)
+    expected = sorted(map(str, islands(headers).collect()))
+    assert sorted(map(str, islands(fewer).collect())) == expected
+    log = spark.range(0, 5000, 1, 1).selectExpr("id div 1000 AS file_no", "id % 1000 * 10 AS start_pos", "id % 1000 * 10 + 10 AS end_pos")
+    assert sorted(map(tuple, stretches(log).collect())) == [(f, 0, 10000) for f in range(5)]
+
+
+@pytest.mark.parametrize("ids", [20, 2])
+def test_name_points_are_name_changes(spark, tmp_path, ids):
+    """With 20 table ids each is bound to one name at a time; with two, names come back."""
+    rng = random.Random(5)
+    maps = [(f, i % ids if ids == 20 else rng.randrange(2), 4 + 10 * i, "d", f"t{i % ids + i // 40 if ids == 20 else rng.randrange(3)}")
+            for f in (1, 2) for i in range(80)]
+    maps.append((1, None, 3, "d", "n"))
+    df = spark.createDataFrame(maps, "file_no bigint, table_id bigint, start_pos bigint, db_name string, table_name string")
+    keys = ["file_no", "table_id"]
+    df = df.filter("table_id is not null")
+    found = name_points(df, keys, str(tmp_path / "spans"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, name_changes(df, keys).collect()))
+
+
+def test_parts_of_the_log_are_the_log(spark, sf):
+    early = F.col("start_pos") < 128000
+    both = L.part_of_log(spark, sf, early).unionByName(L.part_of_log(spark, sf, ~early))
+    assert both.schema.names == L.row_events(spark, sf).schema.names
+    text = F.to_json(F.struct("*"))
+    assert sorted(r[0] for r in both.select(text).collect()) == sorted(r[0] for r in L.row_events(spark, sf).select(text).collect())
+
+
+def test_state_keeps_no_passing_folders(spark, sf, tmp_path):
+    log = L.row_events(spark, sf)
+    assert S.resolve_tables_stream(log, 0, str(tmp_path / "state")).count() == rows_bound(spark, log)
+    assert {p.name for p in (tmp_path / "state").iterdir() if any(p.iterdir())} <= {"covered", "maps", "points", "waiting"}
+
+
+def rows_bound(spark, log):
+    from tidelog.operators.resolve import resolve_tables
+
+    return resolve_tables(log).count()
